@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardmill.frames import read_table
-from wardmill.llm import leaks, term_counts
+from wardmill.llm import leaks, mixture, pieces, sentences, term_counts
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -16,6 +16,14 @@ def p3_counts(spark: SparkSession, d: str) -> DataFrame:
     return term_counts.marked(read_table(spark, d, "rare_terms")).drop("token_id")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.found(read_table(spark, d, "documents"))
+
+
+def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(read_table(spark, d, "documents"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
 
@@ -24,7 +32,19 @@ def p6_near(spark: SparkSession, d: str) -> DataFrame:
     return leaks.find_leaks(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p6_found, p6_near)}
+def p7_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix(read_table(spark, d, "documents"), read_table(spark, d, "source_weights"))[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixture.mix(read_table(spark, d, "documents"), read_table(spark, d, "source_weights"))[1]
+
+
+def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.split_notes(read_table(spark, d, "documents"), read_table(spark, d, "split_limits"))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_sentences, p6_found, p6_near, p7_mix, p7_shares, p8_pieces)}
 
 _COUNTS = """
 WITH r AS (SELECT term_id, any_value(tokens) AS tokens FROM rare_terms GROUP BY term_id),
