@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from wardmill.frames import read_table
-from wardmill.llm import leaks, mixture, pieces, sentences, term_counts
+from wardmill.llm import leaks, mixture, pieces, pii, sentences, term_counts
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -24,6 +24,14 @@ def p4_sentences(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(read_table(spark, d, "documents"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(read_table(spark, d, "content_sections"), read_table(spark, d, "responses"))
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(read_table(spark, d, "content_sections"), read_table(spark, d, "responses"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
 
@@ -44,7 +52,7 @@ def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.split_notes(read_table(spark, d, "documents"), read_table(spark, d, "split_limits"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_sentences, p6_found, p6_near, p7_mix, p7_shares, p8_pieces)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_counts, p4_found, p4_sentences, p5_found, p5_redacted, p6_found, p6_near, p7_mix, p7_shares, p8_pieces)}
 
 _COUNTS = """
 WITH r AS (SELECT term_id, any_value(tokens) AS tokens FROM rare_terms GROUP BY term_id),

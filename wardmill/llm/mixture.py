@@ -18,6 +18,7 @@ negative shares and repeats count as 0.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,7 +73,7 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
     size = (x / max(1.0, float(x.mean()))).tolist()
     todo = [i for i, v in enumerate(p) if 1e-9 < v < 1 - 1e-9]
     kept = set(sorted(todo, key=lambda i: size[i])[:RESERVE])
-    todo = [i for i in reversed(todo) if i not in kept]
+    todo = sorted((i for i in todo if i not in kept), key=lambda i: int(4 * math.log2(size[i] + 1e-9)))  # the largest meet first
     held = [todo.pop() for _ in range(min(3, len(todo)))]
     draws = rng.random(len(todo) + 8).tolist()
     while len(held) == 3:
