@@ -1 +1,95 @@
+"""Readers: vocabularies, configurations, notes, task messages."""
 
+from __future__ import annotations
+
+import glob
+import logging
+import os
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def bsv_rows(lines: DataFrame, scheme: str, line: str = "line") -> DataFrame:
+    """Bar-separated lines as columns named by the scheme, lower-cased whole, without comments; repeats of (cui, str) once.
+
+    A column that the scheme lacks is absent; short lines have nulls at their end. No quoting: see
+    ``operators.rejects`` for files that quote.
+    """
+    names = [x.strip().lower() for x in scheme.split("|")]
+    parts = F.split(F.lower(F.col(line)), r"\|")
+    rows = lines.filter(F.col(line).isNotNull() & (F.col(line) != "") & ~F.col(line).startswith("#") & ~F.col(line).startswith("//")).select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+    keys = [k for k in ("cui", "str") if k in names]
+    return rows.dropDuplicates(keys) if keys else rows
+
+
+def read_bsv(spark: SparkSession, path: str, scheme: str) -> DataFrame:
+    return bsv_rows(spark.read.text(path), scheme, "value")
+
+
+def read_notes(spark: SparkSession, path: str) -> DataFrame:
+    """Whole text files as (doc_id, text); the id is the file's base name."""
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]*)?$", 1)
+    return spark.read.text(path, wholetext=True).select(name.alias("doc_id"), F.col("value").alias("text"))
+
+
+def write_results(results: DataFrame, path: str, key: str = "doc_id") -> None:
+    """One JSON line per document in a folder per document id; overwriting the same ids again is safe."""
+    results.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    results.write.mode("overwrite").partitionBy(key).json(path)
+
+
+@dataclass(frozen=True)
+class Configuration:
+    """A vocabulary configuration."""
+
+    name: str
+    pipeline: str = "default_clinical"
+    term_dictionary: str = ""
+    term_scheme: str = ""
+    concept_dictionary: str = ""
+    concept_scheme: str = ""
+    ignored: tuple[str, ...] = ()
+    exclusion_tags: tuple[str, ...] = ()
+    precision_mode: bool = False
+    features: tuple[str, ...] = ()
+
+    def wants(self, feature: str) -> bool:
+        return feature in self.features
+
+
+PIPELINES = ("default_clinical", "smoking_status")
+
+
+def parse_configuration(name: str, text: str) -> Configuration | None:
+    """A configuration from YAML; None (and a log line) if it can't be read or names no known pipeline."""
+    import yaml
+
+    try:
+        raw = yaml.safe_load(text) or {}
+        p = (raw.get("params") or {}).get("FDL") or {}
+        c = Configuration(name, raw.get("pipeline", ""), p.get("term_dictionary", ""), p.get("term_scheme", ""), p.get("concept_dictionary", ""), p.get("concept_scheme", ""), tuple(p.get("concept_params_ignore") or ()), tuple(p.get("exclusion_tags") or ()), bool(p.get("precision_mode")), tuple(raw.get("features") or ()))
+    except (yaml.YAMLError, AttributeError, TypeError) as e:
+        logging.warning("configuration %s is skipped: %s", name, e)
+        return None
+    if c.pipeline not in PIPELINES:
+        logging.warning("configuration %s is skipped: pipeline %r", name, c.pipeline)
+        return None
+    return c
+
+
+def load_configurations(folder: str) -> list[Configuration]:
+    """All ``*.yaml`` of a folder, not of its subfolders."""
+    out = []
+    for p in sorted(glob.glob(os.path.join(folder, "*.yaml"))):
+        with open(p, encoding="utf-8") as f:
+            c = parse_configuration(os.path.splitext(os.path.basename(p))[0], f.read())
+        if c:
+            out.append(c)
+    return out
+
+
+def tui_list(tui: Column) -> Column:
+    """``t1`` or ``[t1,t2]`` as a list of upper-case ids."""
+    return F.filter(F.transform(F.split(F.regexp_replace(tui, r"[\[\]\s]", ""), ","), F.upper), lambda x: x != "")
