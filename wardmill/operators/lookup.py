@@ -99,6 +99,4 @@ def longest(spans: DataFrame, key: list[str]) -> DataFrame:
     """Spans not strictly inside another of the same key: a sorted sweep, not a self-join."""
     w = W.partitionBy(*key).orderBy(F.col("begin"), F.col("end").desc())
     reach = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1))
-    first = F.min("begin").over(w.rowsBetween(W.unboundedPreceding, -1))
-    kept = spans.withColumns({"__reach": reach, "__first": first})
-    return kept.filter(F.col("__reach").isNull() | (F.col("end") > F.col("__reach"))).drop("__reach", "__first")
+    return spans.withColumn("__reach", reach).filter(F.col("__reach").isNull() | (F.col("end") > F.col("__reach"))).drop("__reach")

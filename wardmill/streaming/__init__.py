@@ -1 +1,72 @@
+"""The task worker as a Structured Streaming job.
 
+Messages come from any streaming source. Each is taken once per key within the watermark; a micro-batch
+is decided against the task tables, annotated, and written: results, task states and pings, under the
+batch's number, so that a batch that runs again after a lost executor overwrites its own output.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from wardmill.operators import tasks
+
+MESSAGE = "work_type string, redis_key string, sender string, version string"
+
+
+def deduplicated(messages: DataFrame, key: str, time: str, delay: str = "10 minutes") -> DataFrame:
+    """Each key once, whatever number of deliveries come within the delay."""
+    return messages.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+
+
+def run_once(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
+    """Runs a stream over what is there and returns what it wrote (a memory table: for tests and small streams)."""
+    q = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.table(name)
+
+
+def attempts(events: DataFrame, key: str, kind: str) -> DataFrame:
+    """key, attempts, status: the state of each task, updated by its events in arrival order."""
+
+    def update(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, status = state.get if state.exists else (0, "submitted")
+        for f in frames:
+            for e in f[kind]:
+                n += e in ("start", "cancel")
+                status = {"start": "started", "cancel": "canceled", "fail": "failed", "complete": "completed - success"}.get(e, status)
+        state.update((n, status))
+        yield pd.DataFrame({key: [k[0]], "attempts": [n], "status": [status]})
+
+    schema = f"{key} {events.schema[key].dataType.simpleString()}, attempts int, status string"
+    return events.groupBy(key).applyInPandasWithState(update, schema, "attempts int, status string", "update", GroupStateTimeout.NoTimeout)
+
+
+def start_worker(messages: DataFrame, load_tables: Callable[[], tuple[DataFrame, DataFrame, DataFrame]], annotate: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
+    """Messages (message_id, chunk_id, text, ts) -> results, states and pings under ``out``.
+
+    A message whose annotation fails leaves a row with its error; it is acknowledged all the same, and
+    trying again is the sender's business.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        chunks, documents, jobs = load_tables()
+        decided = tasks.decide(df, chunks, documents, jobs)
+        run = decided.filter("decision = 'run'")
+        annotate(run).write.mode("overwrite").json(f"{out}/results/batch={number}")
+        decided.select("message_id", "chunk_id", "decision").write.mode("overwrite").json(f"{out}/states/batch={number}")
+        decided.filter("decision <> 'skip'").select("message_id", F.lit("fdl").alias("sender")).write.mode("overwrite").json(f"{out}/pings/batch={number}")
+
+    once = deduplicated(messages, "message_id", "ts")
+    return once.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def file_messages(spark: SparkSession, path: str, schema: str, most: int = 5) -> DataFrame:
+    """JSON message files as a stream, at most ``most`` files a batch (the prefetch limit)."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", most).json(path)
