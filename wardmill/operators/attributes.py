@@ -48,8 +48,7 @@ def negated_words(words: Column) -> Column:
 
     The state is a struct of one integer per automaton; 9 is a hit and stays.
     """
-    A = lambda ws: F.array(*[F.lit(w) for w in sorted(ws)])
-    isin = lambda x, ws: F.array_contains(A(ws), x)
+    isin = lambda x, ws: x.isin(sorted(ws))
     neg_any = R.NEG_PARTICLE | R.NEG_DET
 
     def step(s: Column, x: Column) -> Column:
@@ -71,11 +70,28 @@ def negated_words(words: Column) -> Column:
     return F.aggregate(F.concat(words, F.array(F.lit("<eos>"))), zero, step, lambda s: (s["a"] == 9) | (s["b"] == 9) | (s["c"] == 9) | (s["d"] == 9))
 
 
+def negated_arrays(words: Column) -> Column:
+    """The same as ``negated_words`` in one Arrow pass: cheaper where there are many spans."""
+
+    @F.pandas_udf("boolean")
+    def run(column):
+        seen: dict[tuple, bool] = {}
+        out = []
+        for ws in column:
+            key = tuple(ws)
+            if key not in seen:
+                seen[key] = M.negated([*[Token(0, 0, w, "word", "") for w in key], _EOS])
+            out.append(seen[key])
+        return column.__class__(out, dtype=bool)
+
+    return run(words)
+
+
 def side_words(tokens: Column, at: Column, left: bool, most: int) -> Column:
     """Words left (nearest last) or right of a token position, natively, up to ``most`` and to a boundary word."""
     words = F.slice(tokens, F.greatest(at - most, F.lit(0)) + 1, F.least(at, F.lit(most))) if left else F.slice(tokens, at + 1, most)
     near = F.reverse(words) if left else words
-    stop = F.array_position(F.transform(near, lambda x: F.array_contains(F.array(*[F.lit(w) for w in sorted(R.BOUNDARY)]), x)), True).cast("int")
+    stop = F.array_position(F.transform(near, lambda x: x.isin(sorted(R.BOUNDARY))), True).cast("int")
     cut = F.when(stop > 0, F.slice(near, 1, stop - 1)).otherwise(near)
     return F.reverse(cut) if left else cut
 

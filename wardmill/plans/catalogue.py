@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardmill.plans import core_problems
+from wardmill.plans import core_problems, reference_queries
 
-QUERIES = {**core_problems.QUERIES}
-SQL = {**core_problems.SQL}
+QUERIES = {**core_problems.QUERIES, **reference_queries.QUERIES}
+SQL = {**core_problems.SQL, **reference_queries.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["p1_found"](spark, sf_dir)
+    return QUERIES["precision_spans"](spark, sf_dir)
