@@ -106,11 +106,39 @@ def back(x, table_grad, U, saved, dhs):
     return dU
 
 
+def fast_lstm(x: np.ndarray, table: np.ndarray, U: np.ndarray) -> np.ndarray:
+    """The hidden states of ``lstm`` as (time, unit, sequence), with one tanh a step: a sigmoid is a tanh of half its argument."""
+    L, B = x.shape
+    H = U.shape[0]
+    half = np.repeat(np.float32([0.5, 0.5, 0.5, 1]), H)
+    table, U = np.ascontiguousarray((table * half).T), np.ascontiguousarray((U * half).T)
+    h, c = np.zeros((H, B), np.float32), np.zeros((H, B), np.float32)
+    hs, z, m = np.empty((L, H, B), np.float32), np.empty((4 * H, B), np.float32), np.empty((4 * H, B), np.float32)
+    i, f, o, g = (z[k * H : (k + 1) * H] for k in range(4))
+    gates = z[: 3 * H]
+    for t in range(L):
+        np.take(table, x[t], axis=1, out=z, mode="clip")
+        np.matmul(U, h, out=m)
+        z += m
+        np.tanh(z, out=z)
+        gates += 1
+        c *= f
+        i *= g
+        c += i
+        c *= np.float32(0.5)
+        h = hs[t]
+        np.tanh(c, out=h)
+        h *= o
+        h *= np.float32(0.5)
+    return hs
+
+
 def emissions(p: dict, x: np.ndarray) -> np.ndarray:
-    """Scores of the tags; x: codes, time first."""
-    out = lstm(x, p["E"] @ p["Wf"] + p["bf"], p["Uf"]) @ p["out"][: p["Uf"].shape[0]]
-    out += lstm(x[::-1], p["E"] @ p["Wb"] + p["bb"], p["Ub"])[::-1] @ p["out"][p["Uf"].shape[0] :]
-    out += p["bo"]
+    """Scores (time, tag, sequence); x: codes, time first."""
+    H = p["Uf"].shape[0]
+    out = np.matmul(p["out"][:H].T, fast_lstm(x, p["E"] @ p["Wf"] + p["bf"], p["Uf"]))
+    out += np.matmul(p["out"][H:].T, fast_lstm(x[::-1], p["E"] @ p["Wb"] + p["bb"], p["Ub"])[::-1])
+    out += p["bo"][:, None]
     return out
 
 
@@ -239,20 +267,28 @@ def surely_outside(p: dict) -> float:
 
 
 def viterbi(p: dict, e: np.ndarray) -> np.ndarray:
-    """Best tags of sequences of one length; e: time first."""
-    L, B, _ = e.shape
-    T = np.where(allowed(), p["T"], np.float32(-1e9)).T.copy()
-    v = e[0] + np.array([-1e9 if t and t % 2 == 0 else 0.0 for t in range(K)], np.float32)
-    back = np.empty((L, B, K), np.int8)
+    """Best tags (time, sequence) of sequences of one length; e: time, tag, sequence.
+
+    O and the B tags can follow any tag, an I tag only B or I of its kind. No back pointers are kept:
+    the way back asks again only for the tag that was reached.
+    """
+    L, _, B = e.shape
+    T = np.where(allowed(), p["T"], np.float32(-1e9)).astype(np.float32)
+    free, begins, inner = np.array([0, *range(1, K, 2)]), np.arange(1, K, 2), np.arange(2, K, 2)
+    to_free = T[:, free][:, :, None]
+    from_begin, from_inner = T[begins, inner][:, None], T[inner, inner][:, None]
+    v = np.empty((L, K, B), np.float32)
+    v[0] = e[0]
+    v[0, inner] = -1e9
     for t in range(1, L):
-        s = v[:, None, :] + T
-        back[t] = s.argmax(axis=2)
-        v = s.max(axis=2) + e[t]
+        last, now = v[t - 1], v[t]
+        now[free] = (last[:, None, :] + to_free).max(axis=0)
+        now[inner] = np.maximum(last[begins] + from_begin, last[inner] + from_inner)
+        now += e[t]
     tags = np.empty((L, B), np.int8)
-    tags[L - 1] = v.argmax(axis=1)
-    rows = np.arange(B)
+    tags[L - 1] = v[L - 1].argmax(axis=0)
     for t in range(L - 1, 0, -1):
-        tags[t - 1] = back[t, rows, tags[t]]
+        tags[t - 1] = (v[t - 1] + T[:, tags[t]]).argmax(axis=0)
     return tags
 
 
@@ -275,7 +311,7 @@ def decode(p: dict, texts: list[str]) -> list[list[tuple[int, int, str]]]:
     short: dict[int, list[int]] = {}
     for i, c in enumerate(codes):
         if 0 < len(c) <= WINDOW:
-            short.setdefault(-(-(len(c) + 2) // 16) * 16, []).append(i)
+            short.setdefault(-(-(len(c) + 2) // 8) * 8, []).append(i)
         elif len(c):
             out[i] = _long(p, c)
     for length, members in short.items():
@@ -285,9 +321,9 @@ def decode(p: dict, texts: list[str]) -> list[list[tuple[int, int, str]]]:
             for j, i in enumerate(part):
                 x[: len(codes[i]), j] = codes[i]
             e = emissions(p, x)
-            unsure = np.flatnonzero((e[:, :, 1:].max(axis=2) - e[:, :, 0]).max(axis=0) > -surely_outside(p))
+            unsure = np.flatnonzero((e[:, 1:].max(axis=1) - e[:, 0]).max(axis=0) > -surely_outside(p))
             if len(unsure):
-                tags = viterbi(p, np.ascontiguousarray(e[:, unsure]))
+                tags = viterbi(p, np.ascontiguousarray(e[:, :, unsure]))
                 for j, u in enumerate(unsure):
                     i = part[u]
                     out[i] = spans_of(tags[: len(codes[i]), j])
@@ -312,9 +348,9 @@ def _long(p: dict, code: np.ndarray) -> list[tuple[int, int, str]]:
                 ramp[: WINDOW // 2] = WINDOW // 2
             if s + WINDOW >= n:
                 ramp[WINDOW // 2 :] = WINDOW // 2
-            e[s : s + m] += scores[:m, j] * ramp[:m, None]
+            e[s : s + m] += scores[:m, :, j] * ramp[:m, None]
             w[s : s + m] += ramp[:m, None]
-    return spans_of(viterbi(p, (e / w)[:, None, :])[:, 0])
+    return spans_of(viterbi(p, (e / w)[:, :, None])[:, 0])
 
 
 if __name__ == "__main__":
