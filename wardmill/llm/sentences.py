@@ -43,7 +43,7 @@ PARTICLES = frozenset("とってはがをにものでへや")
 
 _EVENT = re.compile(r'["“„«‹「『]|[.!?…。！？।॥؟۔]+[)\]）】]*|(?<=[ก-๏๚๛])\s+(?=[ก-๏๚๛])')
 _LIST = re.compile(r"(?:[-*•–▪◦·‣]|\(?(\d{1,3})[.)]|\(?[a-z]\))\s+\S")
-_LABEL = re.compile(r"[^\W\d_][^:：,;!?\"“«]{0,38}[:：]\s*[^\s:].{0,60}\Z")
+_LABEL = re.compile(r"[^\W\d_][^:：,;!?\"“«。！？।؟，]{0,38}[:：]\s*[^\s:\"“„«「].{0,60}\Z")
 _LABEL_VALUE = re.compile(r"[:：]\s*(?:[<>~±+]?\s*\.?\d\S*(?:\s\S{1,8}){0,2}|\S+(?:\s\S+){0,2})\Z")
 _DATA = re.compile(r"[0-9A-Za-z+/=_-]+\Z")
 _LETTERS = re.compile(r"[^\W\d_]{3,}")
@@ -303,7 +303,7 @@ class Document:
         if last in ":：":
             body = s[:-1].rstrip()
             return len(body) <= 45 and len(body.split()) <= 6 and not any(c in body for c in ',.;!?"“«„') and not below[:1] in ("“", '"', "«", "„"), 0
-        if _LABEL.match(s) and _LABEL_VALUE.search(s) and len(re.split("[:：]", s, maxsplit=1)[0].split()) <= 4 and (last not in "!?。" and not re.search(r"[^\W\d_]{3,}\s+[^\W\d_]{2,}\s+[^\W\d_]+.*[.]\Z", s.split(":", 1)[-1])):
+        if _LABEL.match(s) and _LABEL_VALUE.search(s) and len(re.split("[:：]", s, maxsplit=1)[0].split()) <= 4 and (last not in "!?。！？।؟…”»」" and not re.search(r"[^\W\d_]{3,}\s+[^\W\d_]{2,}\s+[^\W\d_]+.*[.]\Z", s.split(":", 1)[-1])):
             return True, 0
         if last in _END and last not in ")）":
             return False, 0
