@@ -302,7 +302,7 @@ class Document:
         last = s[-1]
         if last in ":：":
             body = s[:-1].rstrip()
-            return len(body) <= 45 and len(body.split()) <= 6 and not any(c in body for c in ',.;!?"“«„') and not below[:1] in ("“", '"', "«", "„"), 0
+            return len(body) <= 45 and len(body.split()) <= 6 and not any(c in body for c in ',.;!?"“«„'), 0
         if _LABEL.match(s) and _LABEL_VALUE.search(s) and len(re.split("[:：]", s, maxsplit=1)[0].split()) <= 4 and (last not in "!?。！？।؟…”»」" and not re.search(r"[^\W\d_]{3,}\s+[^\W\d_]{2,}\s+[^\W\d_]+.*[.]\Z", s.split(":", 1)[-1])):
             return True, 0
         if last in _END and last not in ")）":
