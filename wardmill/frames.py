@@ -22,3 +22,12 @@ def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     orphan = F.when(df[key].isNull(), F.xxhash64(*[df[c] for c in rest]))
     kept = df.groupBy(df[key].alias("__k"), orphan.alias("__n")).agg(F.min_by(row, by).alias("__r"))
     return kept.select(*[F.col("__k").alias(c) if c == key else F.col(f"__r.{c}").alias(c) for c in df.columns])
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan over fewer partitions than there are cores, dealt out to all of them; any other as it is.
+
+    For frames without a shuffle, before a stage that is bound by Python's CPU time.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmill import resources as R
+from wardmill.frames import spread
 from wardmill.functions import machines as M
 from wardmill.functions.tokens import Token, tokenize
 
@@ -181,7 +182,7 @@ def with_drug_attributes(df: DataFrame, key: str, text: str, drug: str) -> DataF
             kinds = [b.schema.field(0).type, pa.int32(), pa.int32(), *[pa.string()] * 9]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), kinds)], names=[key, *names])
 
-    return df.select(key, text, drug).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, {DRUG_SCHEMA}")
+    return spread(df.select(key, text, drug)).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, {DRUG_SCHEMA}")
 
 
 # ---- laboratory values
@@ -299,7 +300,7 @@ def with_lab_values(df: DataFrame, key: str, text: str, lab: str, model: dict |
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (b.schema.field(0).type, pa.int32(), pa.int32(), pa.string(), pa.string()))], names=[key, "begin", "end", "value", "unit"])
 
-    return df.select(key, text, lab).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, begin int, end int, value string, unit string")
+    return spread(df.select(key, text, lab)).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, begin int, end int, value string, unit string")
 
 
 # ---- any set of automata over sentences
@@ -319,4 +320,4 @@ def with_spans(df: DataFrame, key: str, text: str, machines: list[M.Machine]) ->
                             column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (b.schema.field(0).type, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()))], names=[key, "kind", "value", "begin", "end", "span"])
 
-    return df.select(key, text).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string, value string, begin int, end int, span string")
+    return spread(df.select(key, text)).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string, value string, begin int, end int, span string")

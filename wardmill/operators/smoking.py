@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardmill import resources as R
+from wardmill.frames import spread
 from wardmill.functions.tokens import tokenize
 from wardmill.operators.attributes import is_negative
 
@@ -113,15 +114,24 @@ def sentence_status(sentence: str, model: dict | None = None, quirks: bool = Tru
     return smoker_kind(words, model)
 
 
+def _statuses(texts: list[str | None], model: dict | None) -> list[str]:
+    """Statuses of a batch; equal sentences are read once."""
+    known: dict[str | None, str] = {}
+    for x in texts:
+        if x not in known:
+            known[x] = sentence_status(x or "", model)
+    return [known[x] for x in texts]
+
+
 def with_status(df: DataFrame, key: list[str], text: str, model: dict | None = None) -> DataFrame:
     """key..., status: one Arrow pass over sentences."""
     fields = [df.schema[k] for k in key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array([sentence_status(x or "", model) for x in b.column(len(key)).to_pylist()], pa.string())], names=[*key, "status"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(_statuses(b.column(len(key)).to_pylist(), model), pa.string())], names=[*key, "status"])
 
-    return df.select(*key, text).mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", status string")
+    return spread(df.select(*key, text)).mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", status string")
 
 
 def rank(status: Column) -> Column:
