@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.frames import spread
+
 _WORD = re.compile(r"[^\W_]+")
 _UNSPACED = re.compile("[぀-ヿ㐀-鿿豈-﫿\U00020000-\U0003134f]")
 WINDOWS = {"words": 12, "chars": 20}
@@ -186,7 +188,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, budget: int = 1) -> DataF
                                 column.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "item_id", "distance", "item_at", "doc_at"])
 
-        part = documents.select("doc_id", "text").mapInArrow(run, schema)
+        part = spread(documents.select("doc_id", "text")).mapInArrow(run, schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], schema)

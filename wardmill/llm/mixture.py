@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.frames import spread
+
 from wardmill.llm import tokenizers as tk
 from wardmill.session import checkpoint
 
@@ -45,7 +47,7 @@ def token_counts(documents: DataFrame, tokenizer: str = tk.DEFAULT, folder: str
             sizes = [len(enc.encode_ordinary(t)) if t else 0 for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int32())], names=["doc_id", "source", "n_tokens"])
 
-    return documents.select("doc_id", "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens int")
+    return spread(documents.select("doc_id", "source", "text")).mapInArrow(run, "doc_id long, source string, n_tokens int")
 
 
 def allocate(have: dict[str, int], share: dict[str, float], repeats: dict[str, int], total: float) -> dict[str, float]:

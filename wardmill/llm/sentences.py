@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardmill.frames import spread
+
 MIN_SHARE = 1 / 20_000
 STARTER_SHARE = 1 / 2_000
 
@@ -371,7 +373,7 @@ def sentences(documents: DataFrame, with_text: bool = True) -> DataFrame:
             arrays = [pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())] + [pa.array(texts, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "sent_no", "sent_begin", "sent_end"] + ["sentence"] * with_text)
 
-    return base.mapInArrow(run, schema)
+    return spread(base).mapInArrow(run, schema)
 
 
 def found(documents: DataFrame) -> DataFrame:
