@@ -240,3 +240,67 @@ def test_split_notes(spark):
     assert pieces.split_notes(df, limits.limit(0)).count() == 0
     with pytest.raises(ValueError):
         pieces.split_notes(df, spark.createDataFrame([("p", 4, 4)], "profile string, max_tokens int, overlap_tokens int"))
+
+
+def _price(g, found, limit, overlap):
+    target = (len(g) - overlap) / -(-(len(g) - overlap) // (limit - overlap)) + overlap
+    prices = sum(pieces.PENALTY[g[e]] + 0.5 * (s < e - overlap) for (_, e), (s, _) in zip(found, found[1:]))
+    return prices + sum(pieces.IMBALANCE * ((e - s) / target - 1) ** 2 for s, e in found)
+
+
+def _least(g, limit, overlap):
+    """The least price over all positions of the grades offered, by trying each pair."""
+    n = len(g)
+    target = (n - overlap) / -(-(n - overlap) // (limit - overlap)) + overlap
+    best = {0: 0.0}
+    offered = {int(x) for x in np.flatnonzero(g <= pieces.SENTENCE)}
+    for grade in (pieces.CLAUSE, pieces.WORD, pieces.CHAR):
+        edges = [0, *sorted(offered), n]
+        offered |= {x for a, b in zip(edges, edges[1:]) if b - a > limit - overlap for x in range(a + 1, b) if g[x] == grade}
+    for p in [*sorted(x for x in offered if x > overlap), n]:
+        costs = []
+        for q, c in best.items():
+            s = max(q - overlap, 0)
+            while s > 0 and g[s] == pieces.NONE:
+                s -= 1
+            if p - s <= limit:
+                costs.append(c + pieces.IMBALANCE * ((p - s) / target - 1) ** 2 + (0.5 if q and s < q - overlap else 0.0))
+        if costs:
+            best[p] = min(costs) + (pieces.PENALTY[g[p]] if p < n else 0.0)
+    return best.get(n)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(0, 10**9), st.integers(1, 600), st.sampled_from([(8, 0), (64, 0), (40, 10), (256, 32), (300, 200)]), st.sampled_from([(0, 0, 1, 1, 20, 60, 0), (1, 2, 9, 9, 40, 20, 0), (0, 0, 0, 1, 9, 90, 20), (5, 5, 30, 30, 30, 0, 0)]))
+def test_cuts_are_the_optimum(seed, n, profile, weights):
+    limit, overlap = profile
+    g = np.array(random.Random(seed).choices(range(7), weights, k=n), np.int8)
+    run = 0
+    for i, x in enumerate(g):  # a character has four tokens at most
+        run = run + 1 if x == pieces.NONE else 0
+        if run > 3:
+            g[i], run = pieces.CHAR, 0
+    g[0] = pieces.NONE
+    found = pieces.cuts(g, limit, overlap)
+    least = _least(g, limit, overlap) if n > limit else None
+    assert found[0][0] == 0 and found[-1][1] == n and all(0 < e - s <= limit for s, e in found)
+    assert all(g[e] != pieces.NONE and e - s >= overlap for (_, e), (s, _) in zip(found, found[1:]))
+    if least is not None:
+        assert _price(g, found, limit, overlap) == pytest.approx(least)
+
+
+def test_cuts_keep_the_boundary_that_makes_a_note_feasible():
+    g = np.full(6050, pieces.CHAR, np.int8)
+    g[0], g[5::5] = pieces.NONE, pieces.WORD
+    ends = [210, 428, *range(650, 6000, 210)]
+    g[[*ends, 420]] = pieces.SENTENCE
+    assert [e for _, e in pieces.cuts(g, 256, 32)] == [*ends, 6050]
+
+
+def test_only_the_stretch_without_a_place_is_cut_hard():
+    g = np.full(300, pieces.WORD, np.int8)
+    g[::10] = pieces.SENTENCE
+    g[0], g[101:140] = pieces.NONE, pieces.NONE
+    found = pieces.cuts(g, 20, 0)
+    assert all(0 < e - s <= 20 for s, e in found) and [e for _, e in found[:-1] if g[e] == pieces.NONE] == [120]
+    assert all(g[e] == pieces.SENTENCE for _, e in found[:-1] if not 100 < e < 140)

@@ -5,7 +5,7 @@ penalties and of squared deviations from the balanced piece size, subject to the
 ``overlap_tokens`` tokens shared by neighbours. Positions are graded by what the tokens beside them
 hold: blank line, line, sentence, clause, word, character. Finer grades are offered only between
 coarser ones that lie too far apart for a feasible cut, so a note is cut inside a sentence only where
-no whole one fits. Notes are independent and are cut where they lie; nothing is shuffled.
+no whole one fits; of the positions offered none is left out, and the minimum is exact. Notes are independent and are cut where they lie; nothing is shuffled.
 
 Sizes are tokens of the whole note under the given public tokenizer. A cut never parts a character.
 
@@ -31,8 +31,6 @@ BLANK, LINE, SENTENCE, CLAUSE, WORD, CHAR, NONE = range(7)
 PENALTY = (0.0, 0.15, 0.3, 1.0, 2.5, 8.0, 1e6)
 _PRICE = np.array(PENALTY)
 IMBALANCE = 1.0
-#: Candidate positions in a step at most.
-RESOLUTION = 16
 # Words whose period doesn't end a sentence.
 TITLES = "Dr Mr Mrs Ms Prof Sgt Lt St Sr Sra Dra Hr Fig No vs approx incl etc ca env aprox bzw Ref Resp Sat Temp pt Cf".split()
 
@@ -94,10 +92,7 @@ def many_grades(notes: list[np.ndarray], name: str = tk.DEFAULT, folder: str = t
 
 
 def candidates(g: np.ndarray, step: int) -> np.ndarray:
-    """Positions worth cutting at: sentences and above; where they lie more than a step apart, finer ones between.
-
-    Of positions within 1/RESOLUTION of a step only the best graded is kept.
-    """
+    """All positions of sentences and above; where these lie more than a step apart, all finer ones between."""
     n = len(g)
     at = np.flatnonzero(g <= SENTENCE)
     for grade in (CLAUSE, WORD, CHAR):
@@ -106,62 +101,79 @@ def candidates(g: np.ndarray, step: int) -> np.ndarray:
         if not len(gaps):
             break
         at = np.sort(np.concatenate([at, *[a + 1 + np.flatnonzero(g[a + 1 : b] == grade) for a, b in zip(edges[gaps].tolist(), edges[gaps + 1].tolist())]]))
-    size = step // RESOLUTION
-    if size > 1 and len(at) > RESOLUTION:
-        order = np.lexsort((at, g[at], at // size))
-        bins = (at // size)[order]
-        at = np.sort(at[order[np.concatenate([[True], bins[1:] != bins[:-1]])]])
     return at
 
 
+def offers(g: np.ndarray, at: np.ndarray, limit: int, overlap: int) -> tuple[list[int], list[int], list[float]]:
+    """Positions, where the piece after each begins, and what cutting there costs."""
+    starts = at - overlap
+    moved = (g[starts] == NONE) & (starts > 0)
+    for i in np.flatnonzero(moved):  # a character has four tokens at most
+        near = [x for x in range(starts[i] - 1, max(starts[i] - 4, at[i] - limit, -1), -1) if g[x] != NONE or not x]
+        starts[i] = near[0] if near else starts[i]
+    prices = _PRICE[g[at]] + (0.5 * moved if overlap else 0.0)
+    return at.tolist(), starts.tolist(), prices.tolist()
+
+
 def cuts(g: np.ndarray, limit: int, overlap: int) -> list[tuple[int, int]]:
-    """(first token, end) of the pieces of a note whose positions are graded ``g``."""
+    """(first token, end) of the pieces of a note whose positions are graded ``g``.
+
+    The deviation is a convex function of a piece's end less its begin, so of two cuts the later, once it
+    is the better one to come from, stays so. ``queue`` holds the cuts that are best from some end on,
+    ``since`` those ends; each cut goes in and out once, so all positions are weighed in linear time.
+    """
     n, step = len(g), limit - overlap
     if n <= limit:
         return [(0, n)]
     target = (n - overlap) / -(-(n - overlap) // step) + overlap
     at = candidates(g, step)
-    at = at[at > overlap]
-    starts = at - overlap
-    moved = (g[starts] == NONE) & (starts > 0)
-    for i in np.flatnonzero(moved):
-        while starts[i] > 0 and g[starts[i]] == NONE:
-            starts[i] -= 1
-    prices = _PRICE[g[at]] + (0.5 * moved if overlap else 0.0)
-    places, starts, prices = [*at.tolist(), n], starts.tolist(), [*prices.tolist(), 0.0]
-    cost: list[float] = []
-    back: list[int] = []
-    first, scale, never = 0, 1 / target, 1e18
-    for j, p in enumerate(places):
-        best, source = never, -2
-        if p <= limit:
-            d = p * scale - 1
-            best, source = IMBALANCE * d * d, -1
-        while first < j and p - starts[first] > limit:
-            first += 1
-        for i in range(first, j):
-            d = (p - starts[i]) * scale - 1
-            v = cost[i] + IMBALANCE * d * d
-            if v < best:
-                best, source = v, i
-        cost.append(best + prices[j])
-        back.append(source)
-    if cost[-1] >= 1e17:  # no feasible place: hard cuts between characters
-        out, s = [], 0
-        while s + limit < n:
-            e = s + limit
-            while e > s + overlap + 1 and g[e] == NONE:
-                e -= 1
-            out.append((s, e))
-            s = e - overlap
-            while s > out[-1][0] + 1 and g[s] == NONE:
-                s -= 1
-        return [*out, (s, n)]
+    places, starts, prices = offers(g, at[at > overlap], limit, overlap)
+    places, starts, prices = [0, *places, n], [0, *starts, n], [0.0, *prices, 0.0]
+    cost, back, queue, since = [0.0], [-1], [0], [0.0]
+    head, j, half = 0, 1, target * target / (2 * IMBALANCE)
+    while j < len(places):
+        p, last = places[j], len(queue) - 1
+        while head < last and since[head + 1] < p:
+            head += 1
+        i = queue[head]
+        s = starts[i]
+        if p - s > limit:  # out of reach of all cuts before: whatever position lies between, else a hard cut, here only
+            a = max(places[j - 1], overlap) + 1
+            more = a + np.flatnonzero(g[a : s + limit + 1] < NONE)
+            more = more if len(more) else np.array([s + limit])
+            for column, x in zip((places, starts, prices), offers(g, more, limit, overlap)):
+                column[j:j] = x
+            continue
+        d = (p - s) / target - 1
+        c = cost[i] + IMBALANCE * d * d + prices[j]
+        cost.append(c)
+        back.append(i)
+        s = starts[j]
+        while True:
+            k = queue[-1]
+            gap = s - starts[k]
+            if gap <= 0:
+                if c >= cost[k]:
+                    break
+                if last == head:
+                    queue[-1] = j
+                    break
+            else:
+                x = target + (s + starts[k]) / 2 + (c - cost[k]) * half / gap
+                if x > starts[k] + limit:
+                    x = starts[k] + limit
+                if last == head or x > since[-1]:
+                    queue.append(j)
+                    since.append(x)
+                    break
+            queue.pop()
+            since.pop()
+            last -= 1
+        j += 1
     out, j = [], len(places) - 1
-    while j >= 0:
-        i = back[j]
-        out.append((starts[i] if i >= 0 else 0, places[j]))
-        j = i
+    while j > 0:
+        out.append((starts[back[j]], places[j]))
+        j = back[j]
     return out[::-1]
 
 
