@@ -196,6 +196,15 @@ def test_lookup_equals_brute_force(spark):
     assert got == want
 
 
+def test_lookup_finds_terms_of_any_length(spark):
+    words = [f"w{i}" for i in range(60)]
+    d = spark.createDataFrame([(1, "x " + " ".join(words)), (2, " ".join(words[3:20]) + " end")], "doc_id long, text string")
+    t = spark.createDataFrame([("a", " ".join(words[3:13])), ("b", " ".join(words)), ("c", " ".join([*words[3:20], "end"])), ("d", "w7"), ("e", " ".join([*words[:40], "other"]))], "cui string, str string")
+    got = sorted((x.doc_id, x.cui, x.begin, x.end) for x in lookup.hits(d, t).collect())
+    assert got == [(1, "a", 4, 14), (1, "b", 1, 61), (1, "d", 8, 9), (2, "a", 0, 10), (2, "c", 0, 18), (2, "d", 4, 5)]
+    assert lookup.hits(d, t.limit(0)).count() == 0
+
+
 def test_longest_equals_anti_join(spark):
     import random
 

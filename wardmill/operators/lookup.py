@@ -38,17 +38,18 @@ def term_index(terms: DataFrame, key: list[str], tokens: Column) -> DataFrame:
     return out.select(*key, "tokens", "n", "rare_idx", F.get("tokens", F.col("rare_idx")).alias("rare_word"))
 
 
-def anchors(notes: DataFrame, key: list[str], tokens: Column, reach: int, excluded: Column | None = None) -> DataFrame:
+def anchors(notes: DataFrame, key: list[str], tokens: Column, reach: int | Column, excluded: Column | None = None) -> DataFrame:
     """key..., pos, word, before, window: each token with the ``reach`` tokens on either side.
 
-    ``excluded`` is a predicate over ``word`` for tokens that can't anchor a term.
+    ``reach`` may be an expression over ``notes``; ``excluded`` is a predicate over ``word`` for tokens
+    that can't anchor a term.
     """
-    base = notes.select(*key, tokens.alias("t"))
-    out = base.select(*key, "t", F.posexplode("t").alias("pos", "word"))
+    base = notes.select(*key, tokens.alias("t"), (F.lit(reach) if isinstance(reach, int) else reach).alias("reach"))
+    out = base.select(*key, "t", "reach", F.posexplode("t").alias("pos", "word"))
     if excluded is not None:
         out = out.filter(~excluded)
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
-    return out.select(*key, "pos", "word", (F.col("pos") - first).alias("before"), F.slice("t", first + 1, F.lit(2 * reach + 1)).alias("window"))
+    first = F.greatest(F.col("pos") - F.col("reach"), F.lit(0))
+    return out.select(*key, "pos", "word", (F.col("pos") - first).alias("before"), F.slice("t", first + 1, 2 * F.col("reach") + 1).alias("window"))
 
 
 def matches(anchor: DataFrame, index: DataFrame, key: list[str], term_key: list[str]) -> DataFrame:
@@ -60,11 +61,17 @@ def matches(anchor: DataFrame, index: DataFrame, key: list[str], term_key: list[
     return j.filter((F.col("n") == 1) | ok).select(*key, *term_key, begin.alias("begin"), (begin + F.col("n")).alias("end"))
 
 
-def hits(notes: DataFrame, terms: DataFrame, reach: int = 8, exclude: list[str] | None = None) -> DataFrame:
-    """doc_id, cui, begin, end: each span of a document that a term names, once per cui."""
-    index = term_index(terms, ["cui"], simple_tokens(F.col("str"))).filter(F.col("n") <= reach + 1).distinct()
+def hits(notes: DataFrame, terms: DataFrame, exclude: list[str] | None = None) -> DataFrame:
+    """doc_id, cui, begin, end: each span of a document that a term names, once per cui.
+
+    The windows are as wide as the longest term needs, so terms of any length are found.
+    """
+    words = simple_tokens(F.col("str"))
+    index = term_index(terms, ["cui"], words).distinct()
+    reach = terms.agg(F.greatest(F.max(F.size(words)) - 1, F.lit(0)).alias("__reach"))
     gone = F.col("word").isin(exclude) if exclude else None
-    return matches(anchors(notes, ["doc_id"], simple_tokens(F.col("text")), reach, gone), index, ["doc_id"], ["cui"]).distinct()
+    wide = notes.crossJoin(F.broadcast(reach))
+    return matches(anchors(wide, ["doc_id"], simple_tokens(F.col("text")), F.col("__reach"), gone), index, ["doc_id"], ["cui"]).distinct()
 
 
 def semantic(tui: Column) -> Column:
