@@ -172,6 +172,19 @@ def test_drug_and_lab():
     assert attributes.viterbi([{"a"}, set()], model) == [1, 0] and attributes.viterbi([], model) == []
 
 
+def test_lab_units_are_the_whole_list(spark):
+    assert len(resources.LAB_UNITS) == 498
+    for u in sorted(resources.LAB_UNITS):
+        text = f"value 7 {u.upper()} seen"
+        assert attributes.unit_after(text, 7) == (8, 8 + len(u)), u
+    for text, value, unit in [("wbc 5 10*3/ul", "5", "10*3/ul"), ("wbc 5k/ul today", "5", "k/ul"), ("wbc is 5cm h2o now", "5", "cm h2o"), ("wbc 5cm", "5", "cm"), ("wbc 80 beats/min", "80", "beats/min"), ("wbc 400 copies/mL .", "400", "copies/mL"), ("wbc 3 days", "3", "days"), ("wbc 5zork", None, None)]:
+        got = attributes.link_labs(text, [(0, 3)])[0]
+        assert (got["value"], got["unit"]) == (value, unit), text
+    df = spark.createDataFrame([(1, "wbc 5zorks here", "wbc"), (2, "wbc 5 cm", "wbc")], "k int, text string, lab string")
+    rows = attributes.with_lab_values(df, "k", "text", "lab", units=["Zorks"]).orderBy("k").collect()
+    assert [(r.value, r.unit) for r in rows] == [("5", "zorks"), ("5", None)]
+
+
 def test_smoking():
     for s, want in [("he smokes daily", "CURRENT_SMOKER"), ("denies smoking", "NON_SMOKER"), ("quit smoking", "PAST_SMOKER"), ("walks", "UNKNOWN"), ("tobacco use", "SMOKER"), ("non-smoker", "NON_SMOKER"), ("", "UNKNOWN")]:
         assert smoking.sentence_status(s) == want, s

@@ -5,7 +5,8 @@ Native parts are DataFrame expressions; the automata run in one Arrow pass over
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import functools
+from collections.abc import Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from wardmill import resources as R
 from wardmill.frames import spread
 from wardmill.functions import machines as M
-from wardmill.functions.tokens import Token, tokenize
+from wardmill.functions.tokens import Token, low, tokenize
 
 # ---- polarity
 
@@ -212,8 +213,15 @@ def viterbi(features: list[set[str]], model: dict) -> list[int]:
     return out[::-1]
 
 
-def lab_values(tokens: Sequence[Token], special: str = "normal") -> list[M.Span]:
+@functools.cache
+def _unit_starts(units: frozenset[str]) -> frozenset[str]:
+    """What may stand behind the number in a token that joins both: a unit or its beginning, as in ``5k`` of ``5k/ul``."""
+    return frozenset(u[:k] for u in units for k in range(1, len(u) + 1))
+
+
+def lab_values(tokens: Sequence[Token], special: str = "normal", units: frozenset[str] = R.LAB_UNITS) -> list[M.Span]:
     """Numbers, ranges, fractions and the word ``normal``, without parts of dates; units are left out."""
+    joined = _unit_starts(units)
     dates = [s for m in M.DATES for s in m.run(tokens)]
     free = [t for t in tokens if not any(s.begin <= t.begin and t.end <= s.end for s in dates)]
     wide = [*M.LAB_RANGE.run(free), *M.LAB_FRACTION.run(free)]
@@ -222,7 +230,7 @@ def lab_values(tokens: Sequence[Token], special: str = "normal") -> list[M.Span]
     for t in free:
         if any(s.begin <= t.begin and t.end <= s.end for s in wide):
             continue
-        if t.kind == "number" or t.text[:1].isdigit() and M._split_number(t)[1] in R.LAB_UNITS:
+        if t.kind == "number" or t.text[:1].isdigit() and M._split_number(t)[1] in joined:
             k = len(M._split_number(t)[0]) if t.kind != "number" else t.end - t.begin
             out.append(M.Span(t.begin, t.begin + k, "value"))
         elif t.text == special and not seen:
@@ -231,14 +239,20 @@ def lab_values(tokens: Sequence[Token], special: str = "normal") -> list[M.Span]
     return sorted(out, key=lambda s: (s.begin, s.end))
 
 
+@functools.cache
+def _longest(units: frozenset[str]) -> int:
+    return max(map(len, units), default=0)
+
+
 def unit_after(text: str, end: int, units: frozenset[str] = R.LAB_UNITS) -> tuple[int, int] | None:
     """The longest unit that begins right behind a value, white space skipped."""
     a = end
     while a < len(text) and text[a].isspace():
         a += 1
-    low = text[a : a + 24].lower()
-    best = max((u for u in units if low.startswith(u) and not low[len(u) : len(u) + 1].isalnum()), key=len, default=None)
-    return (a, a + len(best)) if best else None
+    most = _longest(units)
+    rest = low(text[a : a + most + 1])
+    n = next((n for n in range(min(most, len(rest)), 0, -1) if rest[:n] in units and not rest[n : n + 1].isalnum()), 0)
+    return (a, a + n) if n else None
 
 
 def pair_features(tokens: Sequence[Token], mention: tuple[int, int], value: M.Span, mentions, values) -> set[str]:
@@ -257,14 +271,14 @@ def pair_features(tokens: Sequence[Token], mention: tuple[int, int], value: M.Sp
     return out
 
 
-def link_labs(text: str, mentions: Sequence[tuple[int, int]], model: dict | None = None, reach: int = 15, far: int = 50, most: int = 11) -> list[dict]:
+def link_labs(text: str, mentions: Sequence[tuple[int, int]], model: dict | None = None, reach: int = 15, far: int = 50, most: int = 11, units: frozenset[str] = R.LAB_UNITS) -> list[dict]:
     """For each mention the value that the CRF links to it (the left-most of several) and the unit behind it.
 
     Without a model the nearest value to the right within reach, with nothing but words and colons
     between, is taken: a deterministic fallback.
     """
     tokens = tokenize(text)
-    values = lab_values(tokens)
+    values = lab_values(tokens, units=units)
     at = {t.begin: i for i, t in enumerate(tokens)}
     out = []
     for m in sorted(mentions):
@@ -278,13 +292,17 @@ def link_labs(text: str, mentions: Sequence[tuple[int, int]], model: dict | None
         else:
             right = [v for v in near if v.begin >= m[1] and at.get(v.begin, i) - i < reach and not any(n[0] >= m[1] and n[1] <= v.begin for n in mentions if n != m)]
             chosen = right[0] if right else None
-        unit = unit_after(text, chosen.end) if chosen else None
+        unit = unit_after(text, chosen.end, units) if chosen else None
         out.append({"begin": m[0], "end": m[1], "value": text[chosen.begin : chosen.end] if chosen else None, "unit": text[unit[0] : unit[1]] if unit else None})
     return out
 
 
-def with_lab_values(df: DataFrame, key: str, text: str, lab: str, model: dict | None = None) -> DataFrame:
-    """key, begin, end, value, unit for every occurrence of the lab name in the sentence. One Arrow pass."""
+def with_lab_values(df: DataFrame, key: str, text: str, lab: str, model: dict | None = None, units: Collection[str] = R.LAB_UNITS) -> DataFrame:
+    """key, begin, end, value, unit for every occurrence of the lab name in the sentence. One Arrow pass.
+
+    ``units`` is the list of units, in any case.
+    """
+    known = frozenset(x.lower() for x in units)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -295,7 +313,7 @@ def with_lab_values(df: DataFrame, key: str, text: str, lab: str, model: dict |
                 low, at, places = s.lower(), -1, []
                 while (at := low.find(name.lower(), at + 1)) >= 0:
                     places.append((at, at + len(name)))
-                for r in link_labs(s, places, model):
+                for r in link_labs(s, places, model, units=known):
                     for column, v in zip(rows, (k, r["begin"], r["end"], r["value"], r["unit"])):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (b.schema.field(0).type, pa.int32(), pa.int32(), pa.string(), pa.string()))], names=[key, "begin", "end", "value", "unit"])

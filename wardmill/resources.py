@@ -60,7 +60,6 @@ SEMANTIC = (
     ("anatomy", "T021 T022 T023 T024 T025 T026 T029 T030".split()),
 )
 MENTION = {"drug": "MedicationMention", "problem": "DiseaseDisorderMention", "procedure": "ProcedureMention", "anatomy": "AnatomicalSiteMention", "lab": "LabMention", "activity": "ActivityMention", "symptom": "SignSymptomMention"}
-LAB_UNITS = frozenset("mg/dl g/dl mmol/l meq/l u/l iu/l ng/ml pg/ml mcg/dl ug/dl k/ul m/ul mm/hr fl pg % mg/l g/l umol/l nmol/l miu/l ml/min mosm/kg cells/ul".split())
 
 
 def read_words(path: str, drop_unterminated: bool = False) -> list[str]:
@@ -110,3 +109,7 @@ def read_word_sets(folder: str) -> dict[str, frozenset[str]]:
 def read_model(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
         return json.load(f)
+
+
+#: The units file of the survey (S8) as a whole, and mm/hr.
+LAB_UNITS = frozenset(read_words(os.path.join(os.path.dirname(os.path.abspath(__file__)), "lab_units.txt")))
