@@ -49,6 +49,15 @@ def test_myers_equals_dynamic_programming(p, t):
     assert leaks.myers(list(p), list(t), len(p)) == best
 
 
+def test_latin_passages_of_chinese_items_are_found():
+    drug = "methylprednisolone125mgq6h"
+    items = [(1, "每日静脉注射药物如下" + drug + "持续三天后减量观察", "zh"), (2, "天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏", "zh")]
+    for budget in (0, 1):
+        index = leaks.Index(items, budget)
+        assert set(index.hits(f"given {drug} since")) == {1} and not index.hits("given prednisone 5 mg")
+        assert not index.telling and leaks.Index(items[1:], budget).telling
+
+
 def test_leaks_equal_brute_force(spark):
     r = random.Random(2)
     vocabulary = [f"w{i}" for i in range(500)]

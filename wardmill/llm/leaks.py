@@ -17,6 +17,7 @@ documents come out once per id; an item that differs in case, punctuation or spa
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -74,6 +75,8 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str, str | None]], budget: int):
         self.budget, self.items = budget, {"words": [], "chars": []}
+        #: Whether a document without a letter of an unspaced script can't share a window with any of these items.
+        self.telling = True
         pieces: dict[str, dict[str, list[tuple[int, int]]]] = {"words": {}, "chars": {}}
         for item_id, text, lang in items:
             words = _WORD.findall(text.casefold())
@@ -82,6 +85,9 @@ class Index:
             window, step = WINDOWS[mode], grid(WINDOWS[mode], budget)
             if len(seq) < window:
                 continue
+            if mode == "chars":
+                before = [0, *itertools.accumulate(bool(_UNSPACED.match(c)) for c in seq)]
+                self.telling &= all(b - a > budget for a, b in zip(before, before[window:]))
             k = len(self.items[mode])
             self.items[mode].append((item_id, seq))
             for at in range(0, len(seq) - step + 1, step):
@@ -105,7 +111,7 @@ class Index:
             if len(words) >= WINDOWS["words"] - self.budget:
                 line = " " + " ".join(words) + " "
                 self._search("words", line, words, out)
-        if "chars" in self.automata and _UNSPACED.search(text):
+        if "chars" in self.automata and (not self.telling or _UNSPACED.search(text)):
             line = "".join(words if words is not None else _WORD.findall(text.casefold()))
             self._search("chars", line, line, out)
         return out
