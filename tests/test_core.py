@@ -58,6 +58,17 @@ def test_pivot_equals_recursion(record):
     assert sorted(got) == brute_nodes(record)
 
 
+def test_all_roots_are_shredded(spark):
+    late = {"note": [{"n": i} for i in range(200)], "envelope": {"inner": [{"content": [{"id": 7}]}]}}
+    several = {"a": {"content": [{"id": 1}, None, {"id": 2, "umlsConcepts": [{"cui": "C1"}]}]}, "b": json.dumps({"Content": {"id": 3}})}
+    df = spark.createDataFrame([(1, json.dumps(late)), (2, json.dumps(several)), (3, json.dumps({"x": [1] * 100}))], "k int, payload string")
+    shredded = nested.Shredded(nested.shred(df, "k", "payload", [F.lit(1)]), "k")
+    got = sorted((r.k, r.section_pos, r.id) for r in shredded.table("section").collect())
+    assert got == [(1, 0, "7"), (2, 0, "1"), (2, 2, "2"), (2, 3, "3")]
+    assert [(r.k, r.section_pos, r.cui) for r in shredded.table("concept").collect()] == [(2, 2, "C1")]
+    assert [(r.k, r.error) for r in shredded.errors().collect()] == [(3, "no root list")]
+
+
 def test_shred_spellings_wraps_and_dirt(spark):
     inner = {"Content": [{"Id": 0, "umls_concepts": {"cui": "C1", "SabConcepts": json.dumps([{"codingScheme": "X", "vocabConcepts": [None, {"code": 7, "tty": "PT"}]}])}}]}
     rows = [(1, json.dumps({"icd10": inner}), 5), (1, json.dumps({"icd10": inner}), 9), (2, None, 1), (3, "  ", 1), (4, '{"content": [', 1), (5, "[1, 2]", 1), (6, '{"content": null}', 1), (None, '{"content": {"id": "a"}}', 1)]

@@ -15,6 +15,7 @@ without case and punctuation; of equal keys in one object the last counts.
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,20 +72,24 @@ def opened(value: object) -> object:
     return value
 
 
-def root_of(record: object, root_key: str) -> dict | None:
-    """The object that holds the root list, looked for in lists and envelopes around it."""
-    todo = [opened(record)]
-    for _ in range(64):
-        if not todo:
-            return None
-        x = todo.pop(0)
-        if isinstance(x, list):
-            todo += [opened(v) for v in x]
-        elif isinstance(x, dict):
-            if any(plain(k) == root_key for k in x):
-                return x
-            todo += [o for v in x.values() if isinstance(o := opened(v), (dict, list))]
-    return None
+def roots_of(record: object, root_key: str) -> Iterator[dict]:
+    """The objects that hold a root list, looked for in all lists and envelopes around them, nearest first."""
+    todo, met = deque([opened(record)]), False
+    while todo:
+        x = todo.popleft()
+        if isinstance(x, dict) and any(plain(k) == root_key for k in x):
+            met = True
+            yield x
+        elif isinstance(x, (list, dict)):
+            for v in x if isinstance(x, list) else x.values():
+                try:
+                    o = opened(v)
+                except RecursionError:
+                    if not met:
+                        raise
+                    continue
+                if isinstance(o, (dict, list)):
+                    todo.append(o)
 
 
 def triples(record: object, levels: tuple[Level, ...]) -> Iterator[tuple[tuple[str, ...], tuple[int, ...], object]]:
@@ -92,29 +97,33 @@ def triples(record: object, levels: tuple[Level, ...]) -> Iterator[tuple[tuple[s
 
     Each list of a level adds its position to the ordinals; an object of a level first gives a triple
     with the bare path and no value, so that objects without fields aren't lost. Lists that no level
-    names are leaves.
+    names are leaves. Of several roots the positions in the root lists are counted on.
     """
     depth = {x.list_key: i for i, x in enumerate(levels)}
-    root = root_of(record, levels[0].list_key)
-    if root is None:
-        return
-    stack: list[tuple[tuple[str, ...], tuple[int, ...], object]] = [((), (), root)]
-    while stack:
-        path, at, node = stack.pop()
-        later = []
-        for key, value in node.items():
-            k = plain(key)
-            if depth.get(k, -1) == len(at):
-                value = opened(value)
-                whole = (*path, k)
-                for i, element in enumerate(value if isinstance(value, list) else [value]):
-                    element = opened(element)
-                    if isinstance(element, dict):
-                        yield whole, (*at, i), None
-                        later.append((whole, (*at, i), element))
-            else:
-                yield (*path, k), at, value
-        stack.extend(reversed(later))
+    shift = 0
+    for root in roots_of(record, levels[0].list_key):
+        stack: list[tuple[tuple[str, ...], tuple[int, ...], object]] = [((), (), root)]
+        following = shift
+        while stack:
+            path, at, node = stack.pop()
+            later = []
+            for key, value in node.items():
+                k = plain(key)
+                if depth.get(k, -1) == len(at):
+                    value = opened(value)
+                    whole = (*path, k)
+                    elements = value if isinstance(value, list) else [value]
+                    if not at:
+                        following = max(following, shift + len(elements))
+                    for i, element in enumerate(elements, 0 if at else shift):
+                        element = opened(element)
+                        if isinstance(element, dict):
+                            yield whole, (*at, i), None
+                            later.append((whole, (*at, i), element))
+                else:
+                    yield (*path, k), at, value
+            stack.extend(reversed(later))
+        shift = following
 
 
 def _text(v: object) -> str | None:
@@ -205,7 +214,7 @@ def shred(df: DataFrame, key: str, payload: str, order: list[Column], levels: tu
                     try:
                         record = json.loads(text)
                         rows = pivot(record, levels)
-                        if root_of(record, levels[0].list_key) is None:
+                        if next(roots_of(record, levels[0].list_key), None) is None:
                             error = "no root list"
                     except ValueError as e:
                         error = f"not JSON: {e}"[:200]
