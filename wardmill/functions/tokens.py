@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Word parts that decide where a token ends.
-_SPLIT3 = {"cannot": (3, 3), "gonna": (3, 2), "gotta": (3, 2), "lemme": (3, 2), "wanna": (3, 2), "whaddya": (3, 4), "whatcha": (4, 3)}
-_PREFIXES = frozenset("e- a- u- x- agro- ante- anti- arch- be- bi- bio- co- counter- cross- cyber- de- eco- ex- extra- inter- intra- macro- mega- micro- mid- mini- multi- neo- non- over- pan- para- peri- post- pre- pro- pseudo- quasi- re- semi- sub- super- tri- ultra- un- uni- vice-".split())
+_PARTED = {"cannot": (3, 3), "gonna": (3, 2), "gotta": (3, 2), "lemme": (3, 2), "wanna": (3, 2), "whaddya": (3, 2, 2), "whatcha": (3, 1, 3)}
+_PREFIXES = frozenset("e- a- u- x- agro- ante- anti- arch- be- bi- bio- co- counter- cross- cyber- de- eco- ex- extra- inter- intra- macro- mega- micro- mid- mini- multi- neo- non- over- pan- para- peri- post- pre- pro- pseudo- quasi- re- semi- sub- super- tri- ultra- un- uni- vice- electro- gasto- homo- hetero- ortho- phospho-".split())
 _SUFFIXES = frozenset("-esque -ette -fest -fold -gate -itis -less -most -o-torium -rama -wise".split())
-_KEPT = frozenset("mid-to-late over-the-counter".split())
-_CONTRACTED = ("'s", "'ve", "'re", "'ll", "'d", "'m", "'n", "n't")
+_KEPT = frozenset("mm-hm mm-mm o-kay uh-huh uh-oh".split())
+_CONTRACTED = ("'s", "'ve", "'re", "'ll", "'d", "'n", "n't")
 
 
 @dataclass(frozen=True)
@@ -51,6 +51,24 @@ _ABBREV = re.compile(r"(?:[^\W\d_]\.)+(?:[^\W\d_]\.?)?")
 _NUMBER = re.compile(r"\d{1,3}(?:,\d{3})+(?:\.\d+)?(?!\w)|\d+\.\d+(?!\w)")
 
 
+def _hyphenated(word: str, first: int) -> int:
+    """The length of the token that a word with a hyphen at ``first`` begins with: more than ``first`` if the hyphen is kept."""
+    ends, at = [], first
+    while len(ends) < 2 and at < len(word):
+        at = next((k for k in range(at + 1, len(word)) if not _alnum(word[k])), len(word))
+        ends.append(at)
+    second, third = ends[0], ends[-1]
+    double = second < len(word) and word[second] == "-"
+    tail = double and word[second:third] in _SUFFIXES
+    if double and word[first:third] in _SUFFIXES:
+        return third
+    if word[first:second] in _SUFFIXES or word[:second] in _KEPT and tail:
+        return third if tail else second
+    if word[: first + 1] in _PREFIXES:
+        return third if tail or double and word[first + 1 : third] in _KEPT else second
+    return second if word[:second] in _KEPT else first
+
+
 def tokenize(text: str, offset: int = 0) -> list[Token]:
     """Tokens of one sentence; ``offset`` is where it begins in the document."""
     out: list[Token] = []
@@ -87,9 +105,9 @@ def tokenize(text: str, offset: int = 0) -> list[Token]:
             stop = next((k for k in range(i, n) if text[k] in " \t\r\n"), n)
             j = next((k for k in range(i, stop) if not _alnum(text[k])), stop)
             word = low(text[i:j])
-            if j == stop and word in _SPLIT3:
-                a, _ = _SPLIT3[word]
-                i = emit(emit(i, i + a, "word"), j, "word")
+            if j == stop and word in _PARTED:
+                for size in _PARTED[word]:
+                    i = emit(i, i + size, "word")
             elif j == stop:
                 i = emit(i, j, mixed(i, j))
             elif text[j] in "'’" and (m := next((x for x in _CONTRACTED if low(text[j : j + len(x)]).replace("’", "'") == x and not _alnum(text[j + len(x) : j + len(x) + 1] or " ")), None)):
@@ -102,9 +120,8 @@ def tokenize(text: str, offset: int = 0) -> list[Token]:
                 i = emit(i, m.end(), "word")
             elif (m := _ABBREV.match(text, i)) and m.end() - i > 2 and not _alnum(text[m.end() : m.end() + 1] or " "):
                 i = emit(i, m.end(), "word")
-            elif text[j] == "-" and (word + "-" in _PREFIXES or any(low(text[j : j + len(s)]) == s and not _alnum(text[j + len(s) : j + len(s) + 1] or " ") for s in _SUFFIXES) or any(low(text[i : i + len(k)]) == k for k in _KEPT)):
-                e = next((len(k) + i for k in _KEPT if low(text[i : i + len(k)]) == k), None) or next((k for k in range(j + 1, stop) if not _alnum(text[k])), stop)
-                i = emit(i, e, mixed(i, e))
+            elif text[j] == "-" and (e := _hyphenated(low(text[i:stop]), j - i)) > j - i:
+                i = emit(i, i + e, mixed(i, i + e))
             elif m := _NUMBER.match(text, i):
                 i = emit(i, m.end(), "number")
             else:
@@ -157,6 +174,11 @@ def simple_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
+def plain_tokens(text: Column) -> Column:
+    """Words and numbers of any script in lower case, natively: runs of letters, marks and digits."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
+
+
 def shape_of(text: Column) -> Column:
     """The shape of a token, natively."""
     return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"[^\p{Lu}\p{Nd}]", "x"), r"\p{Lu}", "X"), r"\p{Nd}", "d")

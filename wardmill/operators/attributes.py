@@ -6,7 +6,7 @@ Native parts are DataFrame expressions; the automata run in one Arrow pass over
 from __future__ import annotations
 
 import functools
-from collections.abc import Collection, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -48,28 +48,36 @@ def is_negative(tokens: Sequence[Token], begin: int, end: int, left: int = 20, r
 def negated_words(words: Column) -> Column:
     """The negation automata over an array of lower-case words (an end mark is added), natively as a fold.
 
-    The state is a struct of one integer per automaton; 9 is a hit and stays.
+    The transitions are those of ``machines.NEGATION``: a state is the place of its line in the table, the
+    machines' states are one struct, and a hit stays.
     """
-    isin = lambda x, ws: x.isin(sorted(ws))
-    neg_any = R.NEG_PARTICLE | R.NEG_DET
+    parsed = []
+    for m in M.NEGATION:
+        lines = [line.split() for line in m.table.strip().split("\n")]
+        number = {"START": 0, **{x[0]: i for i, x in enumerate(lines) if x[0] != "START"}, "END": -1}
+        parsed.append([(number[state], [(rule.rpartition(">")[0], number[rule.rpartition(">")[2]]) for rule in rules]) for state, *rules in lines])
+
+    def holds(name: str, x: Column) -> Column:
+        if name == "any":
+            return F.lit(True)
+        if name[0] == "!":
+            return ~holds(name[1:], x)
+        return x == name[1:-1] if name[0] == "'" else x.isin(sorted(M.words_of(name)))
 
     def step(s: Column, x: Column) -> Column:
-        a, b, c, d = s["a"], s["b"], s["c"], s["d"]
-        start = F.when(isin(x, R.NEG_VERB), 1).when(isin(x, R.NEG_COLLOC), 2).when(isin(x, R.MODAL | R.REG_VERB), 3).when(isin(x, neg_any), 4).otherwise(0)
-        a2 = (
-            F.when(a == 9, 9).when(a == 0, start)
-            .when((a == 1) | (a == 4), F.when(isin(x, R.NEG_COLLOC), 0).otherwise(9))
-            .when(a == 2, F.when(x == "out", 6).otherwise(0)).when(a == 6, 9)
-            .when(a == 3, F.when(isin(x, R.NEG_COLLOC), 2).when(isin(x, neg_any), 4).otherwise(5))
-            .when(a == 5, F.when(isin(x, neg_any), 4).otherwise(0)).otherwise(0)
-        )
-        b2 = F.when(b == 9, 9).when(b == 0, F.when(isin(x, R.NEG_DET), 1).when(isin(x, R.NEG_PREP), 2).otherwise(0)).when(b == 1, F.when(isin(x, R.REG_NOUN), 3).otherwise(9)).otherwise(9)
-        c2 = F.when(c == 9, 9).when(c == 0, F.when(isin(x, R.NEG_ADJ), 1).otherwise(0)).when(c == 1, F.when(isin(x, R.NEG_PREP), 2).otherwise(0)).otherwise(9)
-        d2 = F.when((d == 9) | isin(x, R.NEG_ADJ), 9).otherwise(0)
-        return F.struct(a2.alias("a"), b2.alias("b"), c2.alias("c"), d2.alias("d"))
-
-    zero = F.struct(*[F.lit(0).alias(k) for k in "abcd"])
-    return F.aggregate(F.concat(words, F.array(F.lit("<eos>"))), zero, step, lambda s: (s["a"] == 9) | (s["b"] == 9) | (s["c"] == 9) | (s["d"] == 9))
+        fields = []
+        for k, table in enumerate(parsed):
+            now = s[f"m{k}"]
+            to = F.when(now == -1, -1)
+            for state, rules in table:
+                for name, target in rules:
+                    to = to.when((now == state) & holds(name, x), target)
+            fields.append(to.otherwise(0).alias(f"m{k}"))
+        return F.struct(*fields)
+
+    zero = F.struct(*[F.lit(0).alias(f"m{k}") for k in range(len(parsed))])
+    hit = lambda s: functools.reduce(lambda p, q: p | q, [s[f"m{k}"] == -1 for k in range(len(parsed))])
+    return F.aggregate(F.concat(words, F.array(F.lit("<eos>"))), zero, step, hit)
 
 
 def negated_arrays(words: Column) -> Column:
@@ -101,14 +109,18 @@ def side_words(tokens: Column, at: Column, left: bool, most: int) -> Column:
 # ---- medications
 
 
-def drug_spans(tokens: Sequence[Token]) -> list[M.Span]:
-    """All attribute spans of a sentence, in order. Later automata see the results of earlier ones as single tokens."""
-    run = lambda ms, ts: [s for m in ms for s in m.run(ts)]
+def drug_spans(tokens: Sequence[Token], intended: bool = False) -> list[M.Span]:
+    """All attribute spans of a sentence, in order. Later automata see the results of earlier ones as single tokens.
+
+    ``intended``: word lists that only match words behind a digit match plain words, as they seem meant to
+    (change of status, durations, ranges and fractions in words).
+    """
+    run = lambda ms, ts: [s for m in ms for s in (m.meant() if intended else m).run(ts)]
     time = run(M.TIME, tokens)
-    fraction = M.FRACTION_STRENGTH.run(tokens)
+    fraction = run(M.FRACTION_STRENGTH, tokens)
     decimal = M.DECIMAL_STRENGTH.run(tokens)
-    status = M.STATUS.run(tokens)
-    ranges = M.RANGE_STRENGTH.run(tokens)
+    status = run(M.STATUS, tokens)
+    ranges = run(M.RANGE_STRENGTH, tokens)
     on_range = M.merged(tokens, ranges)
     units = run(M.STRENGTH_UNIT, on_range)
     forms = M.FORM.run(tokens)
@@ -118,52 +130,75 @@ def drug_spans(tokens: Sequence[Token]) -> list[M.Span]:
     suffix = M.SUFFIX_STRENGTH.run(M.merged(tokens, as_units))
     route = run(M.ROUTES, tokens)
     every = run(M.FREQUENCY_UNITS, M.merged(tokens, time))
-    frequency = [M.Span(s.begin, s.end, "frequency", _quantity(tokens, s)) for s in M.FREQUENCY.run(M.merged(M.merged(tokens, every), ranges))]
-    out = [*time, *fraction, *decimal, *status, *ranges, *units, *forms, *strength, *dosage, *suffix, *route, *every, *frequency]
+    frequency = [_frequency(tokens, s) for s in M.FREQUENCY.run(M.merged(M.merged(tokens, every), ranges))]
+    duration = run(M.DURATION, on_range)
+    out = [*time, *fraction, *decimal, *status, *ranges, *units, *forms, *strength, *dosage, *suffix, *route, *every, *frequency, *duration]
     return sorted(out, key=lambda s: (s.begin, s.end, s.kind, s.value))
 
 
-def _quantity(tokens: Sequence[Token], s: M.Span) -> str:
-    words = [t.text for t in tokens if s.begin <= t.begin and t.end <= s.end]
+def _frequency(tokens: Sequence[Token], s: M.Span) -> M.Span:
+    """A frequency narrowed to the word or number that tells how often, with that number."""
+    inside = [t for t in tokens if s.begin <= t.begin and t.end <= s.end]
     for word, n in R.FREQUENCY.items():
-        if word in words:
-            return str(float(n))
-    return next((w for w in words if w.isdigit()), "")
+        if t := next((t for t in inside if t.text == word), None):
+            return M.Span(t.begin, t.end, "frequency", str(float(n)))
+    for t in inside:
+        if t.text in R.HYPHENATED_FREQUENCY:
+            return M.Span(t.begin, t.end, "frequency", str(float(R.HYPHENATED_FREQUENCY[t.text])))
+    t = next((t for t in inside if t.text.isdigit()), None)
+    return M.Span(t.begin, t.end, "frequency", t.text) if t else M.Span(s.begin, s.end, "frequency")
 
 
-def drug_attributes(tokens: Sequence[Token], drugs: Sequence[tuple[int, int]], reach: int = 10) -> list[dict]:
-    """For each drug span the first attribute of each kind between it and the next drug, at most ``reach`` tokens on."""
-    spans, out = drug_spans(tokens), []
-    text = {}
-    for t in tokens:
-        text[t.begin] = t
+#: Attributes and the kinds of spans they come from.
+_DRUG_KINDS = (("strength", "strength"), ("unit", "strength_unit"), ("form", "form"), ("dosage", "dosage"), ("route", "route"), ("frequency", "frequency"), ("frequency_unit", "frequency_unit"), ("status", "status"), ("duration", "duration"))
+
+
+def drug_places(tokens: Sequence[Token], drugs: Sequence[tuple[int, int]], reach: int = 10, intended: bool = False) -> list[dict[str, M.Span | None]]:
+    """For each drug span, in order, the first span of each kind between it and the next drug, at most ``reach`` tokens on."""
+    spans, out = drug_spans(tokens, intended), []
     drugs = sorted(drugs)
-    for k, (b, e) in enumerate(drugs):
+    for k, (_, e) in enumerate(drugs):
         following = [i for i, t in enumerate(tokens) if t.begin >= e]
         last = tokens[min(following[0] + reach, len(tokens) - 1)].end if following else e
         stop = min(last, drugs[k + 1][0] if k + 1 < len(drugs) else last)
-        first = lambda kind: next((s for s in spans if s.kind == kind and s.begin >= e and s.end <= stop), None)  # noqa: B023, E731
-        words = lambda s: None if s is None else " ".join(t.text for t in tokens if s.begin <= t.begin and t.end <= s.end)
-        strength, unit, number, every = first("strength"), first("strength_unit"), first("frequency"), first("frequency_unit")
-        if strength is not None and unit is None and words(strength):
-            unit = strength
-        row = {"begin": b, "end": e, "strength": words(strength), "unit": words(unit), "form": words(first("form")), "dosage": words(first("dosage")), "route": None, "frequency": None, "frequency_unit": words(every), "status": None, "duration": None}
-        if r := first("route"):
-            row["route"] = r.value
-        if s := first("status"):
-            row["status"] = s.value
-        if number:
-            row["frequency"] = number.value
-        elif every and every.value:
-            row["frequency"] = every.value
+        out.append({name: next((s for s in spans if s.kind == kind and s.begin >= e and s.end <= stop), None) for name, kind in _DRUG_KINDS})
+    return out
+
+
+def drug_attributes(text: str, tokens: Sequence[Token], drugs: Sequence[tuple[int, int]], reach: int = 10, intended: bool = False) -> list[dict]:
+    """``drug_places`` as text: route and status by name, the frequency as a number where it is known."""
+    out = []
+    for (b, e), places in zip(sorted(drugs), drug_places(tokens, drugs, reach, intended)):
+        row = {"begin": b, "end": e, **{k: None if s is None else low(text[s.begin : s.end]) for k, s in places.items()}}
+        for k in ("route", "status"):
+            row[k] = places[k].value if places[k] else None
+        every, number = places["frequency_unit"], places["frequency"]
+        row["frequency"] = (number.value or row["frequency"]) if number else every.value or None if every else None
         out.append(row)
     return out
 
 
+def drug_bag(text: str, begin: int, places: dict[str, M.Span | None]) -> dict:
+    """A drug's attributes as the response has them; ``text`` is the sentence, ``begin`` its place in the note."""
+    of = lambda s: text[s.begin - begin : s.end - begin]
+    triple = lambda s, t=None: [] if s is None else [of(s) if t is None else t, s.begin, s.end]
+    every, number = places["frequency_unit"], places["frequency"]
+    bag: dict = {"medFrequencyUnit": triple(every)}
+    if number:
+        bag["medFrequencyNumber"] = triple(number, number.value or None)
+    elif not every:
+        bag["medFrequencyNumber"] = []
+    elif every.value:
+        bag["medFrequencyNumber"] = triple(every, every.value)
+    bag |= {"medStrengthNum": triple(places["strength"]), "medStrengthUnit": triple(places["unit"]), "medStatusChange": places["status"].value if places["status"] else None}
+    bag |= {k: of(places[n]) if places[n] else None for k, n in (("medDosage", "dosage"), ("medForm", "form"), ("medDuration", "duration"))}
+    return bag | {"medRoute": places["route"].value if places["route"] else None}
+
+
 DRUG_SCHEMA = "begin int, end int, strength string, unit string, form string, dosage string, route string, frequency string, frequency_unit string, status string, duration string"
 
 
-def with_drug_attributes(df: DataFrame, key: str, text: str, drug: str) -> DataFrame:
+def with_drug_attributes(df: DataFrame, key: str, text: str, drug: str, intended: bool = False) -> DataFrame:
     """key and one row per occurrence of the drug in the sentence, with its attributes. One Arrow pass."""
     names = [x.split()[0] for x in DRUG_SCHEMA.split(", ")]
 
@@ -176,7 +211,7 @@ def with_drug_attributes(df: DataFrame, key: str, text: str, drug: str) -> DataF
                 low, at, places = s.lower(), -1, []
                 while (at := low.find(d.lower(), at + 1)) >= 0:
                     places.append((at, at + len(d)))
-                for r in drug_attributes(tokenize(s), places):
+                for r in drug_attributes(s, tokenize(s), places, intended=intended):
                     rows["k"].append(k)
                     for n in names:
                         rows[n].append(r[n])
@@ -215,28 +250,62 @@ def viterbi(features: list[set[str]], model: dict) -> list[int]:
 
 @functools.cache
 def _unit_starts(units: frozenset[str]) -> frozenset[str]:
-    """What may stand behind the number in a token that joins both: a unit or its beginning, as in ``5k`` of ``5k/ul``."""
+    """The units and their beginnings: a path in the tree of units."""
     return frozenset(u[:k] for u in units for k in range(1, len(u) + 1))
 
 
-def lab_values(tokens: Sequence[Token], special: str = "normal", units: frozenset[str] = R.LAB_UNITS) -> list[M.Span]:
-    """Numbers, ranges, fractions and the word ``normal``, without parts of dates; units are left out."""
-    joined = _unit_starts(units)
-    dates = [s for m in M.DATES for s in m.run(tokens)]
-    free = [t for t in tokens if not any(s.begin <= t.begin and t.end <= s.end for s in dates)]
-    wide = [*M.LAB_RANGE.run(free), *M.LAB_FRACTION.run(free)]
-    out = list(wide)
-    seen = False
-    for t in free:
-        if any(s.begin <= t.begin and t.end <= s.end for s in wide):
+def split_units(tokens: Sequence[Token], units: frozenset[str]) -> list[Token]:
+    """Tokens with ``45mg`` parted into a number and a unit (or the beginning of one, as in ``5k`` of ``5k/ul``)."""
+    paths, out = _unit_starts(units), []
+    for t in tokens:
+        digits, rest = M._split_number(t)
+        k = len(digits)
+        if t.kind != "number" and digits and rest and t.text[k:] in paths:
+            out += [Token(t.begin, t.begin + k, digits, "number", t.shape[:k]), Token(t.begin + k, t.end, t.text[k:], "word", t.shape[k:])]
+        else:
+            out.append(t)
+    return out
+
+
+def lab_sequence(text: str, tokens: Sequence[Token], mentions: Sequence[tuple[int, int]], special: str = "normal", units: frozenset[str] = R.LAB_UNITS, begin: int = 0) -> list[tuple[str, int, int, Token | None]]:
+    """(kind, begin, end, token) in order: mentions, values (numbers, ranges, fractions, the special word) and other tokens.
+
+    A mention, range or fraction is one element; dates are left out. Of the special word only the first in
+    the sentence counts.
+    """
+    tokens = split_units(tokens, units)
+    dates, ranges, fractions = M.date_spans(tokens), M.LAB_RANGE.run(tokens), M.LAB_FRACTION.run(tokens)
+    where = low(text).find(special) if special else -1
+    word = (begin + where, begin + where + len(special)) if where >= 0 else None
+    covers = lambda s, t: s.begin <= t.begin and t.end <= s.end
+    todo, out, until = sorted(mentions), [], -1
+    for t in tokens:
+        if t.begin < until:
+            continue
+        if m := next((m for m in todo if m[0] <= t.begin and t.end <= m[1]), None):
+            todo.remove(m)
+            out.append(("mention", *m, None))
+            until = m[1]
+            continue
+        if any(covers(s, t) for s in dates):
             continue
-        if t.kind == "number" or t.text[:1].isdigit() and M._split_number(t)[1] in joined:
-            k = len(M._split_number(t)[0]) if t.kind != "number" else t.end - t.begin
-            out.append(M.Span(t.begin, t.begin + k, "value"))
-        elif t.text == special and not seen:
-            seen = True
-            out.append(M.Span(t.begin, t.end, "value"))
-    return sorted(out, key=lambda s: (s.begin, s.end))
+        if s := next((s for s in (*ranges, *fractions) if covers(s, t)), None):
+            if t.end == s.end:
+                out.append(("value", s.begin, s.end, None))
+            continue
+        if t.kind == "number":
+            out.append(("value", t.begin, t.end, t))
+        elif word and t.begin <= word[0] < t.end:
+            out.append(("value", *word, None))
+            until, word = word[1], None
+        else:
+            out.append(("token", t.begin, t.end, t))
+    return out
+
+
+def lab_values(text: str, tokens: Sequence[Token], special: str = "normal", units: frozenset[str] = R.LAB_UNITS) -> list[M.Span]:
+    """Numbers, ranges, fractions and the word ``normal``, without parts of dates; units are left out."""
+    return [M.Span(b, e, "value") for kind, b, e, _ in lab_sequence(text, tokens, [], special, units) if kind == "value"]
 
 
 @functools.cache
@@ -255,45 +324,77 @@ def unit_after(text: str, end: int, units: frozenset[str] = R.LAB_UNITS) -> tupl
     return (a, a + n) if n else None
 
 
-def pair_features(tokens: Sequence[Token], mention: tuple[int, int], value: M.Span, mentions, values) -> set[str]:
-    lo, hi = (mention[1], value.begin) if value.begin >= mention[1] else (value.end, mention[0])
-    between = [t for t in tokens if lo <= t.begin and t.end <= hi]
-    out = {"LV_DISTANCE", "LV_TERMS_BETWEEN", "LV_VALUES_BETWEEN"}
-    inside = sum(lo <= m[0] and m[1] <= hi for m in mentions), sum(lo <= v.begin and v.end <= hi for v in values)
-    out |= {f"LV_POINT_TERM_{inside[0] + 1}", f"LV_POINT_VALUE_{inside[1] + 1}"}
-    for t in between:
-        if t.kind == "newline":
-            out.add("LV_NEW_LINE")
-        elif t.kind in ("punct", "symbol"):
-            out.add(f"LV_PUNCTUATION_{t.text}")
-        elif t.text == "and":
-            out.add("LV_CONJ_AND")
+def unit_column(rest: Column, units: Collection[str] = R.LAB_UNITS) -> Column:
+    """The longest unit at the beginning of a text (white space skipped), natively; null if there is none."""
+    head = F.lower(F.ltrim(rest))
+    most = max(map(len, units), default=0)
+    lengths = F.sequence(F.least(F.lit(most), F.length(head)), F.lit(0), F.lit(-1))
+    fits = lambda n: (n > 0) & F.substring(head, F.lit(1), n).isin(sorted(units)) & ~F.substring(head, n + 1, F.lit(1)).rlike(r"[\p{L}\p{N}]")
+    n = F.get(F.filter(lengths, fits), F.lit(0))
+    return F.when(n.isNotNull(), F.substring(head, F.lit(1), n))
+
+
+def pair_features(sequence: Sequence[tuple[str, int, int, Token | None]], mention: int, value: int, tags: Sequence[str] | None = None) -> set[str]:
+    """Features of a mention and a value by their places in the sequence; what lies between them counts.
+
+    Numeric and boolean features count by presence. ``tags`` are the part-of-speech tags of the elements
+    (of tokens), else the closed class of conjunctions stands in.
+    """
+    out, terms, values = {"LV_DISTANCE", "LV_TERMS_BETWEEN", "LV_VALUES_BETWEEN", "LV_IS_CLOSEST"}, 0, 0
+    lo, hi = sorted((mention, value))
+    for k in range(lo + 1, hi):
+        kind, _, _, t = sequence[k]
+        if kind == "mention":
+            terms += 1
+            out.add(f"LV_POINT_TERM_{terms}")
+        elif kind == "value":
+            values += 1
+            out.add(f"LV_POINT_VALUE_{values}")
+        elif t is not None:
+            if t.kind == "newline":
+                out.add("LV_NEW_LINE")
+                continue
+            if t.kind == "punct":
+                out.add(f"LV_PUNCTUATION_{t.text}")
+            if (tags[k] == "cc") if tags else t.text in ("and", "or", "but", "nor"):
+                out.add(f"LV_CONJ_{t.text.upper()}")
     return out
 
 
-def link_labs(text: str, mentions: Sequence[tuple[int, int]], model: dict | None = None, reach: int = 15, far: int = 50, most: int = 11, units: frozenset[str] = R.LAB_UNITS) -> list[dict]:
-    """For each mention the value that the CRF links to it (the left-most of several) and the unit behind it.
+def link_labs(text: str, mentions: Sequence[tuple[int, int]], model: dict | None = None, reach: int = 15, far: int = 50, most: int = 11, units: frozenset[str] = R.LAB_UNITS, tokens: Sequence[Token] | None = None, begin: int = 0) -> list[dict]:
+    """For each mention of a sentence the value that the CRF links to it and the unit behind it.
 
-    Without a model the nearest value to the right within reach, with nothing but words and colons
-    between, is taken: a deterministic fallback.
+    All pairs of a mention and a value, at most ``far`` elements apart and ``most`` values a mention, the
+    right-most first, are one chain; of several linked values the left-most stays. Without a model the
+    nearest value to the right within reach, with no other mention between, is taken: a deterministic
+    fallback. ``tokens`` may be given with offsets in a note where the sentence begins at ``begin``.
     """
-    tokens = tokenize(text)
-    values = lab_values(tokens, units=units)
-    at = {t.begin: i for i, t in enumerate(tokens)}
+    sequence = lab_sequence(text, tokenize(text) if tokens is None else tokens, mentions, units=units, begin=begin)
+    named = [i for i, x in enumerate(sequence) if x[0] == "mention"]
+    values = [i for i, x in enumerate(sequence) if x[0] == "value"]
+    chosen: dict[int, int] = {}
+    if model:
+        pairs = [(m, v) for m in named for v in [v for v in values if abs(m - v) <= far][:most][::-1]]
+        states = viterbi([pair_features(sequence, m, v) for m, v in pairs], model)
+        for (m, v), s in zip(pairs, states):
+            if model["states"][s] == "LINKED" and abs(m - v) < reach:
+                chosen[m] = v
+    else:
+        for m in named:
+            stop = next((n for n in named if n > m), len(sequence))
+            v = next((v for v in values if m < v < min(stop, m + reach)), None)
+            if v is not None:
+                chosen[m] = v
     out = []
-    for m in sorted(mentions):
-        i = next((k for k, t in enumerate(tokens) if t.begin >= m[0]), 0)
-        near = [v for v in values if v.begin not in range(*m) and abs(at.get(v.begin, i) - i) <= far][:most]
-        chosen = None
-        if model:
-            states = viterbi([pair_features(tokens, m, v, mentions, values) for v in near], model)
-            linked = [v for v, s in zip(near, states) if model["states"][s] == "LINKED" and abs(at.get(v.begin, i) - i) < reach]
-            chosen = linked[0] if linked else None
-        else:
-            right = [v for v in near if v.begin >= m[1] and at.get(v.begin, i) - i < reach and not any(n[0] >= m[1] and n[1] <= v.begin for n in mentions if n != m)]
-            chosen = right[0] if right else None
-        unit = unit_after(text, chosen.end, units) if chosen else None
-        out.append({"begin": m[0], "end": m[1], "value": text[chosen.begin : chosen.end] if chosen else None, "unit": text[unit[0] : unit[1]] if unit else None})
+    for m in named:
+        _, b, e, _ = sequence[m]
+        row = {"begin": b, "end": e, "value": None, "unit": None, "value_at": None, "unit_at": None}
+        if m in chosen:
+            _, vb, ve, _ = sequence[chosen[m]]
+            row |= {"value": text[vb - begin : ve - begin], "value_at": (vb, ve)}
+            if u := unit_after(text, ve - begin, units):
+                row |= {"unit": text[u[0] : u[1]], "unit_at": (u[0] + begin, u[1] + begin)}
+        out.append(row)
     return out
 
 
@@ -324,18 +425,18 @@ def with_lab_values(df: DataFrame, key: str, text: str, lab: str, model: dict |
 # ---- any set of automata over sentences
 
 
-def with_spans(df: DataFrame, key: str, text: str, machines: list[M.Machine]) -> DataFrame:
-    """key, kind, value, begin, end, span: what the automata find in each text."""
+def with_spans(df: DataFrame, key: str, text: str, machines: list[M.Machine] | Callable[[Sequence[Token]], list[M.Span]]) -> DataFrame:
+    """key, kind, value, begin, end, span: what the automata, or a function over tokens, find in each text."""
+    find = machines if callable(machines) else lambda ts: [x for m in machines for x in m.run(ts)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[list] = [[] for _ in range(6)]
             for k, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 tokens = tokenize(s or "")
-                for m in machines:
-                    for x in m.run(tokens):
-                        for column, v in zip(rows, (k, x.kind, x.value, x.begin, x.end, s[x.begin : x.end])):
-                            column.append(v)
+                for x in find(tokens):
+                    for column, v in zip(rows, (k, x.kind, x.value, x.begin, x.end, s[x.begin : x.end])):
+                        column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows, (b.schema.field(0).type, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()))], names=[key, "kind", "value", "begin", "end", "span"])
 
     return spread(df.select(key, text)).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, kind string, value string, begin int, end int, span string")

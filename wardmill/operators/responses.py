@@ -1,4 +1,4 @@
-"""Nested results: one JSON response per document, and the envelope keyed by configuration."""
+"""Nested results: one JSON response per note and configuration, and the envelope keyed by configuration."""
 
 from __future__ import annotations
 
@@ -16,34 +16,57 @@ def mention_name(semantic: Column) -> Column:
     return out
 
 
-def numbered(annotations: DataFrame, key: str) -> DataFrame:
-    """Annotations with ``id`` from 0 by (begin, end, semantic) within their document."""
-    w = W.partitionBy(key).orderBy("begin", "end", "semantic")
-    return annotations.withColumn("id", F.row_number().over(w) - 1)
+def umls_concept() -> Column:
+    """A row of ``lookup.merged_concepts`` as the response has it: codes under their coding schemes."""
+    by_sab = F.transform(F.array_distinct(F.transform("codes", lambda c: c["sab"])), lambda s: F.struct(s.alias("codingScheme"), F.transform(F.filter("codes", lambda c: c["sab"] == s), lambda c: F.struct(c["ttys"].alias("tty"), c["code"].alias("code"))).alias("vocabConcepts")))
+    return F.struct(F.coalesce("tuis", F.array().cast("array<string>")).alias("tui"), "cui", F.coalesce("pref", F.lit("")).alias("preferredText"), by_sab.alias("sabConcepts"))
+
+
+def _quoted(text: Column) -> Column:
+    """A string as a JSON string."""
+    return F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
 
 
-def clinical(annotations: DataFrame, concepts: DataFrame, key: str) -> DataFrame:
-    """key, response (JSON): content in order, each annotation with its concepts, coding schemes and codes.
+def clinical(annotations: DataFrame, notes: DataFrame, key: str) -> DataFrame:
+    """key, config, response (JSON), error: the content in order of (begin, end, aspect, term), ids from 0.
 
-    ``annotations``: key, semantic, begin, end, cuis, polarity. ``concepts``: cui, pref, tuis, codes.
+    ``annotations``: key, config, sent_begin, sent_end, semantic, term, begin, end, text, attributes (JSON),
+    umlsConcepts. ``notes``: key, config, n_chars, error; a note without annotations has empty content, one
+    with an error no response.
     """
-    a = numbered(annotations, key)
-    each = a.select(key, "id", F.explode("cuis").alias("cui")).withColumn("cui", F.upper("cui"))
-    by_sab = F.transform(F.array_distinct(F.transform("codes", lambda c: c["sab"])), lambda s: F.struct(s.alias("codingScheme"), F.transform(F.filter("codes", lambda c: c["sab"] == s), lambda c: F.struct(c["ttys"].alias("tty"), c["code"].alias("code"))).alias("vocabConcepts")))
-    described = each.join(concepts.withColumn("cui", F.upper("cui")), "cui", "left").select(key, "id", F.struct(F.col("tuis").alias("tui"), "cui", F.col("pref").alias("preferredText"), by_sab.alias("sabConcepts")).alias("c"), F.col("cui").alias("o"))
-    nested = described.groupBy(key, "id").agg(F.transform(F.sort_array(F.collect_list(F.struct("o", "c"))), lambda x: x["c"]).alias("umlsConcepts"))
-    content = a.join(nested, [key, "id"], "left").select(key, F.struct("id", F.array("begin", "end").alias("text"), F.lit("SIMPLE_SEGMENT").alias("sectionOid"), F.struct("polarity").alias("attributes"), F.col("semantic").alias("aspect"), mention_name(F.col("semantic")).alias("name"), "umlsConcepts").alias("x"))
-    return content.groupBy(key).agg(F.array_sort(F.collect_list("x"), lambda p, q: p["id"] - q["id"]).alias("content")).select(key, F.to_json(F.struct(F.col(key).cast("string").alias("docId"), "content")).alias("response"))
+    w = W.partitionBy(key, "config").orderBy("begin", "end", "semantic", "term")
+    a = annotations.withColumn("id", F.row_number().over(w) - 1).join(notes.select(key, "config", "n_chars"), [key, "config"])
+    two = lambda x, y: F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
+    parts = [
+        ("id", F.col("id").cast("string")),
+        ("sentence", two(F.col("sent_begin"), F.col("sent_end"))),
+        ("sectionOffset", two(F.lit(0), F.col("n_chars"))),
+        ("text", F.concat(F.lit("["), _quoted(F.lower("text")), F.lit(","), F.col("begin").cast("string"), F.lit(","), F.col("end").cast("string"), F.lit("]"))),
+        ("sectionOid", F.lit('"SIMPLE_SEGMENT"')),
+        ("attributes", F.col("attributes")),
+        ("aspect", _quoted(F.col("semantic"))),
+        ("name", _quoted(mention_name(F.col("semantic")))),
+        ("umlsConcepts", F.coalesce(F.to_json("umlsConcepts"), F.lit("[]"))),
+    ]
+    item = F.concat(F.lit("{"), *[x for i, (k, v) in enumerate(parts) for x in (F.lit(("," if i else "") + f'"{k}":'), v)], F.lit("}"))
+    content = a.groupBy(key, "config").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", item.alias("item")))), lambda x: x["item"]), ",").alias("content"))
+    head = F.concat(F.lit('{"docId":'), _quoted(F.col(key).cast("string")), F.lit(',"dob":"","gender":"","age":"","content":['), F.coalesce("content", F.lit("")), F.lit("]}"))
+    return notes.join(content, [key, "config"], "left").select(key, "config", F.when(F.col("error").isNull(), head).alias("response"), "error")
 
 
 def smoking(sentences: DataFrame, status: DataFrame, key: str) -> DataFrame:
-    """key, response (JSON): the document's status and its sentences in order."""
-    listed = sentences.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("sent_no", F.struct(F.col("status").alias("Status"), F.col("text").alias("Text")).alias("s")))), lambda x: x["s"]).alias("sentences"))
-    return listed.join(status, key).select(key, F.to_json(F.struct(F.col(key).cast("string").alias("docId"), F.col("smoking_status").alias("smokingStatus"), "sentences")).alias("response"))
+    """key, response (JSON): the document's status and its sentences in order of their spans.
+
+    ``sentences``: key, begin, end, text, status. The keys of a sentence are capitalised.
+    """
+    item = F.concat(F.lit('{"Status":'), _quoted(F.col("status")), F.lit(',"Text":['), _quoted(F.lower("text")), F.lit(","), F.col("begin").cast("string"), F.lit(","), F.col("end").cast("string"), F.lit("]}"))
+    listed = sentences.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("begin", "end", item.alias("s")))), lambda x: x["s"]), ",").alias("sentences"))
+    head = F.concat(F.lit('{"docId":'), _quoted(F.col(key).cast("string")), F.lit(',"dob":"","gender":"","age":"","smokingStatus":'), _quoted(F.col("smoking_status")), F.lit(',"sentences":['), F.coalesce("sentences", F.lit("")), F.lit("]}"))
+    return status.join(listed, key, "left").select(key, head.alias("response"))
 
 
 def envelope(responses: DataFrame, key: str) -> DataFrame:
-    """key, envelope: the responses of all configurations of a document as one JSON object."""
-    entries = F.sort_array(F.collect_list(F.struct("config", "response")))
-    joined = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(F.lit('"'), e["config"], F.lit('":'), e["response"])), ","), F.lit("}"))
+    """key, envelope: the responses of all configurations of a document as one JSON object, in order of their names; a null response is left out."""
+    entries = F.sort_array(F.collect_list(F.when(F.col("response").isNotNull(), F.struct("config", "response"))))
+    joined = F.concat(F.lit("{"), F.array_join(F.transform(entries, lambda e: F.concat(_quoted(e["config"]), F.lit(":"), e["response"])), ","), F.lit("}"))
     return responses.groupBy(key).agg(joined.alias("envelope"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,33 +20,45 @@ from wardmill.operators.attributes import is_negative
 STATUSES = ("CURRENT_SMOKER", "PAST_SMOKER", "SMOKER", "NON_SMOKER", "UNKNOWN")
 
 
-def merge_sentences(sentences: Sequence[str], openers: frozenset[str] = frozenset("no none never quit smoked :".split()), quirks: bool = False) -> list[str]:
-    """A sentence that ends with a colon takes in the next one if that begins with a status word.
+_OPENERS = frozenset("no none never quit smoked :".split())
 
-    With ``quirks`` the two are joined without a space, and a pair that isn't joined gives its second
-    sentence twice.
+
+def adjusted(sentences: Sequence[tuple[int, int, str]], openers: frozenset[str] = _OPENERS, quirks: bool = False) -> list[tuple[int, int, str]]:
+    """Sentences (begin, end, text) in order of their spans; one that ends with a colon takes in the next if that begins with a status word.
+
+    With ``quirks`` the two are joined without the white space between, and a pair that isn't joined gives
+    its second sentence twice.
     """
-    out: list[str] = []
-    held: str | None = None
-    for s in sentences:
-        if held is not None and held.rstrip().endswith(":"):
+    out: list[tuple[int, int, str]] = []
+    held: tuple[int, int, str] | None = None
+    for b, e, s in sorted(sentences):
+        if held is not None and held[2].rstrip().endswith(":"):
             words = [t.text for t in tokenize(s.lstrip())[:1]]
             if words and words[0] in openers:
-                held = held + ("" if quirks else " ") + s
+                held = (held[0], e, held[2] + ("" if quirks else " " * max(0, b - held[1])) + s)
                 continue
             out.append(held)
             if quirks:
-                out.append(s)
-            held = s
+                out.append((b, e, s))
+            held = (b, e, s)
             continue
         if held is not None:
             out.append(held)
-        held = s
+        held = (b, e, s)
     if held is not None:
         out.append(held)
     return out
 
 
+def merge_sentences(sentences: Sequence[str], openers: frozenset[str] = _OPENERS, quirks: bool = False) -> list[str]:
+    """``adjusted`` for sentences that stand a space apart."""
+    at, placed = 0, []
+    for s in sentences:
+        placed.append((at, at + len(s), s))
+        at += len(s) + 1
+    return [s for _, _, s in adjusted(placed, openers, quirks)]
+
+
 def svm_predict(x: Sequence[float], model: dict) -> float:
     """A libsvm model's answer: one-against-one votes for classes, a sum for regression."""
 
@@ -76,14 +90,59 @@ def svm_predict(x: Sequence[float], model: dict) -> float:
     return model["labels"][max(range(n), key=lambda k: (votes[k], -k))]
 
 
-def smoker_kind(words: Sequence[str], model: dict | None = None) -> str:
-    """CURRENT, PAST or SMOKER. With a model, an SVM over the presence of its words and word pairs; else by cue words."""
+def svm_labels(x: np.ndarray, model: dict) -> np.ndarray:
+    """``svm_predict`` of many rows by matrix products."""
+    vectors, g, c0 = np.asarray(model["vectors"], float), model.get("gamma", 1.0), model.get("coef0", 0.0)
+    kind = model.get("kernel", "linear")
+    if kind == "precomputed":
+        ks = x[:, vectors[:, 0].astype(int)]
+    elif kind == "rbf":
+        ks = np.exp(-g * ((x**2).sum(axis=1)[:, None] + (vectors**2).sum(axis=1) - 2 * x @ vectors.T))
+    else:
+        dot = x @ vectors.T
+        ks = (g * dot + c0) ** model.get("degree", 3) if kind == "poly" else np.tanh(g * dot + c0) if kind == "sigmoid" else dot
+    weights = np.asarray(model["coefficients"], float)
+    if "labels" not in model:
+        return ks @ weights[0] - model["rho"][0]
+    starts = np.concatenate([[0], np.cumsum(model["counts"])])
+    n, p = len(model["labels"]), 0
+    votes = np.zeros((len(x), n), int)
+    for i in range(n):
+        for j in range(i + 1, n):
+            a, b = slice(starts[i], starts[i + 1]), slice(starts[j], starts[j + 1])
+            first = ks[:, a] @ weights[j - 1, a] + ks[:, b] @ weights[i, b] - model["rho"][p] > 0
+            votes[:, i] += first
+            votes[:, j] += ~first
+            p += 1
+    return np.asarray(model["labels"])[votes.argmax(axis=1)]
+
+
+def svm_column(x: Column, model: dict) -> Column:
+    """The label of each row's feature array."""
+
+    @F.pandas_udf("int")
+    def run(column):
+        return column.__class__(svm_labels(np.stack(column.to_list()), model) if len(column) else [], dtype="int32")
+
+    return run(x)
+
+
+_DATE = re.compile(r"19\d\d|20\d\d|[1-9]0s|\d{1,2}[/-]\d{1,2}")
+
+
+def smoker_features(words: Sequence[str], sentence: str, go_words: Sequence[str] = R.SMOKING_GO_WORDS) -> list[float]:
+    """Presence of each go-word (pairs are joined by a low line) and of a date."""
+    words = [w for x in words for w in re.sub("-{2,}", " ", x).split() if w not in R.SMOKING_STOP_WORDS]
+    have = set(words) | {f"{a}_{b}" for a, b in zip(words, words[1:])}
+    dated = any(_DATE.search(x) for x in re.sub(r"[.?!:;()',\"{}<>#+]", " ", sentence).split())
+    return [float(w in have) for w in go_words] + [float(dated)]
+
+
+def smoker_kind(words: Sequence[str], model: dict | None = None, sentence: str | None = None) -> str:
+    """CURRENT, PAST or SMOKER. With a model, an SVM over ``smoker_features`` (of its own ``words``, if it names some); else by cue words."""
     if model:
-        pairs = {f"{a}_{b}" for a, b in zip(words, words[1:])}
-        have = set(words) | pairs
-        dated = any(w.isdigit() and 1900 <= int(w) <= 2100 for w in words if len(w) == 4)
-        label = svm_predict([float(w in have) for w in model["words"]] + [float(dated)], model)
-        return {1: "CURRENT_SMOKER", 2: "PAST_SMOKER", 3: "SMOKER"}.get(int(label), "SMOKER")
+        label = svm_predict(smoker_features(words, " ".join(words) if sentence is None else sentence, model.get("words", R.SMOKING_GO_WORDS)), model)
+        return {1: "CURRENT_SMOKER", 2: "PAST_SMOKER", 3: "SMOKER"}.get(int(label), "UNKNOWN")
     have = set(words)
     if have & {"quit", "quits", "stopped", "former", "past", "previously", "ex-smoker", "exsmoker", "discontinued", "ago"}:
         return "PAST_SMOKER"
@@ -109,9 +168,24 @@ def sentence_status(sentence: str, model: dict | None = None, quirks: bool = Tru
         at = -1
         while (at := low.find(phrase, at + 1)) >= 0:
             negative = negative or is_negative(tokens, at, at + len(phrase), 7, 7, R.SMOKING_BOUNDARY)
-    if negative and not any(w in R.SMOKING_CONTRADICTION for w in words):
+    if negative and not contradictions(sentence):
         return "NON_SMOKER"
-    return smoker_kind(words, model)
+    return smoker_kind([t.text for t in tokens if t.kind == "word"], model, sentence)
+
+
+def contradictions(sentence: str) -> int:
+    """Words between marks and spaces that contradict a negation."""
+    return sum(w in R.SMOKING_CONTRADICTION for w in re.split(r"\W+", sentence.lower()))
+
+
+def strongest(statuses: Sequence[str]) -> str:
+    return next((s for s in STATUSES if s in statuses), "UNKNOWN")
+
+
+def document(text: str, spans: Sequence[tuple[int, int]], model: dict | None = None, quirks: bool = False) -> dict:
+    """The status of a note and its sentences, as the response has them; ``spans`` are its sentences."""
+    listed = [(sentence_status(s, model), s, b, e) for b, e, s in adjusted([(b, e, text[b:e]) for b, e in spans], quirks=quirks)]
+    return {"smokingStatus": strongest([x[0] for x in listed]), "sentences": [{"Status": k, "Text": [s.lower(), b, e]} for k, s, b, e in listed]}
 
 
 def _statuses(texts: list[str | None], model: dict | None) -> list[str]:

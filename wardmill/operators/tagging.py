@@ -10,7 +10,7 @@ import re
 import unicodedata
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- tagger
@@ -99,10 +99,40 @@ def lemma(form: str, tag_: str, exceptions: dict[str, dict[str, str]], rules: di
     return (abbreviations or {}).get(f"{w}_{tag_.upper()}", w)
 
 
-def exception_lemma(form: Column, exceptions: dict[str, str]) -> Column:
-    """The exception table natively: a map of a few thousand literal entries at most."""
-    pairs = [F.lit(x) for kv in sorted(exceptions.items()) for x in kv]
-    return F.coalesce(F.create_map(*pairs)[F.lower(form)], F.lower(form)) if pairs else F.lower(form)
+def with_exceptions(df: DataFrame, form: str, exceptions: DataFrame) -> DataFrame:
+    """The frame with ``lemma``: the base of its form in a table of exceptions (form, base), else the form in lower case.
+
+    The table is joined, so it may have any size; the optimizer broadcasts it if it is small.
+    """
+    table = exceptions.groupBy(F.lower("form").alias("__form")).agg(F.min("base").alias("__base"))
+    return df.join(table, F.lower(df[form]) == table["__form"], "left").withColumn("lemma", F.coalesce("__base", F.lower(F.col(form)))).drop("__form", "__base")
+
+
+def lemma_column(form: Column, tag_: Column, exceptions: dict[str, dict[str, str]], rules: dict[str, list[tuple[str, str]]], bases: dict[str, frozenset[str]], abbreviations: dict[str, str] | None = None) -> Column:
+    """``lemma`` in Arrow batches; each distinct pair of form and tag of a batch is worked out once."""
+
+    @F.pandas_udf("string")
+    def run(forms, tags):
+        known: dict[tuple, str | None] = {}
+        for pair in set(zip(forms, tags)):
+            known[pair] = lemma(pair[0], pair[1] or "", exceptions, rules, bases, abbreviations) if pair[0] is not None else None
+        return forms.__class__([known[p] for p in zip(forms, tags)], dtype=object)
+
+    return run(form, tag_)
+
+
+def tag_column(words: Column, model: dict | None = None) -> Column:
+    """The tags of an array of lower-case words, in Arrow batches; equal sentences of a batch are read once."""
+
+    @F.pandas_udf("array<string>")
+    def run(column):
+        known: dict[tuple, list[str]] = {}
+        keys = [tuple(w) if w is not None else () for w in column]
+        for k in set(keys):
+            known[k] = tag(list(k), model)
+        return column.__class__([known[k] for k in keys], dtype=object)
+
+    return run(words)
 
 
 # ---- sentences
@@ -118,6 +148,13 @@ def split_fallback(text: str) -> list[tuple[int, int]]:
     return [(a + len(text[a:b]) - len(text[a:b].lstrip()), a + len(text[a:b].rstrip())) for a, b in out if text[a:b].strip()]
 
 
+def fallback_ends(text: Column) -> Column:
+    """The ends of the sentences of ``split_fallback``, natively. White space stands for what Java's \\s matches."""
+    parts = F.split(F.regexp_replace(F.regexp_replace(text, r"(\n+)", "$1\x02"), r"(?<=[.!?])(\s+)", "$1\x02"), "\x02")
+    walked = F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("ends")), lambda s, p: F.struct((s["at"] + F.length(p)).alias("at"), F.when(F.trim(F.regexp_replace(p, r"\s", "")) == "", s["ends"]).otherwise(F.array_append(s["ends"], s["at"] + F.length(F.regexp_replace(p, r"\s+$", "")))).alias("ends")))
+    return walked["ends"]
+
+
 def char_features(text: str, i: int, previous: str) -> list[str]:
     """Classes and identities of the characters around i, the words around it, and the previous outcome."""
     out = [f"prev={previous}", "bias"]

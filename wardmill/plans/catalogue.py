@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardmill.plans import core_problems, reference_queries
+from wardmill.plans import core_problems, pipeline_queries, reference_queries
 
-QUERIES = {**core_problems.QUERIES, **reference_queries.QUERIES}
-SQL = {**core_problems.SQL, **reference_queries.SQL}
+_PARTS = (core_problems, reference_queries, pipeline_queries)
+QUERIES = {k: v for p in _PARTS for k, v in p.QUERIES.items()}
+SQL = {k: v for p in _PARTS for k, v in p.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

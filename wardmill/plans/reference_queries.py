@@ -6,17 +6,17 @@ the expected attribute by construction.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardmill import resources
 from wardmill.frames import read_table
 from wardmill.functions import machines as M
 from wardmill.functions import tokens as tk
 from wardmill.operators import attributes, lookup, responses, smoking, tagging, tasks
-from wardmill.sources import bsv_rows, tui_list
-from wardmill.streaming import attempts, deduplicated, run_once
+from wardmill.session import fresh_folder
+from wardmill.sources import bsv_rows, cached_index
+from wardmill.streaming import attempts, deduplicated, process, run_once, start_worker
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -72,25 +72,21 @@ def line_split(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT p_partkey, 3 AS n_sentences, length('Seen on ward ' || p_size || '.') AS first_end FROM part")
 def sentence_fallback(spark: SparkSession, d: str) -> DataFrame:
     notes = read_table(spark, d, "part").select("p_partkey", F.expr("concat('Seen on ward ', p_size, '. Is it ', p_brand, '? Yes\n')").alias("text"))
-
-    @F.pandas_udf("array<int>")
-    def ends(text):
-        return text.map(lambda x: [b for _, b in tagging.split_fallback(x)])
-
-    return notes.select("p_partkey", ends("text").alias("e")).select("p_partkey", F.size("e").alias("n_sentences"), F.get("e", F.lit(0)).alias("first_end"))
+    e = tagging.fallback_ends(F.col("text"))
+    return notes.select("p_partkey", F.size(e).alias("n_sentences"), F.get(e, F.lit(0)).alias("first_end"))
 
 
 # ---- vocabulary
 
 _BSV = "SELECT DISTINCT p[1] AS cui, p[6] AS str FROM (SELECT string_split(lower(line), '|') AS p FROM term_lines WHERE line IS NOT NULL AND line <> '' AND NOT starts_with(line, '#') AND NOT starts_with(line, '//'))"
-_BSV_ALL = "SELECT p[1] AS cui, p[2] AS tui, p[3] AS tty, p[4] AS code, p[5] AS sab, p[6] AS str, p[7] AS pref FROM (SELECT string_split(lower(line), '|') AS p FROM term_lines WHERE line IS NOT NULL AND line <> '' AND NOT starts_with(line, '#') AND NOT starts_with(line, '//'))"
+_BSV_ALL = "SELECT p[1] AS cui, p[2] AS tui, p[3] AS tty, p[4] AS code, p[5] AS sab, p[6] AS str, p[7] AS pref, line_id FROM (SELECT line_id, string_split(lower(line), '|') AS p FROM term_lines WHERE line IS NOT NULL AND line <> '' AND NOT starts_with(line, '#') AND NOT starts_with(line, '//'))"
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
     """Vocabulary rows with every line (concepts keep all of them)."""
     parts = F.split(F.lower("line"), r"\|")
     lines = read_table(spark, d, "term_lines").filter("line <> '' AND NOT startswith(line, '#') AND NOT startswith(line, '//')")
-    return lines.select(*[F.get(parts, i).alias(n.lower()) for i, n in enumerate(TERMS.split("|"))], "file_path")
+    return lines.select(*[F.get(parts, i).alias(n.lower()) for i, n in enumerate(TERMS.split("|"))], "file_path", "line_id")
 
 
 @query(_BSV)
@@ -118,76 +114,124 @@ def _rare(column: str) -> str:
     return f"strlen({column}) > 1 AND regexp_matches({column}, '[a-zA-Z]') AND {column} NOT IN ({', '.join(repr(x) for x in sorted(R.NOT_RARE))})"
 
 
-_INDEX = f"""
-WITH b AS (SELECT cui, regexp_extract_all(str, '[a-z0-9]+') AS tokens, row_number() OVER () AS k FROM ({_BSV})),
-b2 AS (SELECT * FROM b WHERE len(tokens) > 0),
-e AS (SELECT k, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS pos FROM b2),
-c AS (SELECT token, count(*) AS cnt FROM e WHERE {_rare('token')} GROUP BY token),
-m AS (SELECT k, min((cnt, pos)) AS x FROM (SELECT e.k, c.cnt, e.pos FROM e JOIN c USING (token)) GROUP BY k),
-i AS (SELECT DISTINCT cui, tokens, CAST(len(tokens) AS INTEGER) AS n, CAST(CASE WHEN len(tokens) = 1 THEN 0 ELSE coalesce(x[2], 0) END AS INTEGER) AS rare_idx FROM b2 LEFT JOIN m USING (k)),
+_WORDS = r"[\p{L}\p{M}\p{N}]+"
+
+
+def _index_sql(config: bool = False) -> str:
+    """The term classes, their rarest tokens, and their members; with ``config`` the file of a line is its configuration."""
+    c = "file_path" if config else "''"
+    return f"""
+WITH b AS (SELECT DISTINCT {c} AS config, p[1] AS cui, p[6] AS str FROM (SELECT file_path, string_split(lower(line), '|') AS p FROM term_lines WHERE line IS NOT NULL AND line <> '' AND NOT starts_with(line, '#') AND NOT starts_with(line, '//'))),
+b1 AS (SELECT config, cui, regexp_extract_all(str, '{_WORDS}') AS tokens FROM b),
+mem AS (SELECT DISTINCT config, cui, array_to_string(tokens, ' ') AS term FROM b1 WHERE len(tokens) > 0),
+k1 AS (SELECT config, tokens, count(*) AS weight FROM b1 WHERE len(tokens) > 0 GROUP BY ALL),
+e AS (SELECT config, tokens, weight, unnest(tokens) AS token, generate_subscripts(tokens, 1) - 1 AS pos FROM k1),
+c AS (SELECT config, token, sum(weight) AS cnt FROM e WHERE {_rare('token')} GROUP BY ALL),
+m AS (SELECT config, tokens, min((cnt, pos)) AS x FROM (SELECT e.config, e.tokens, c.cnt, e.pos FROM e JOIN c USING (config, token)) GROUP BY ALL),
+i AS (SELECT config, tokens, array_to_string(tokens, ' ') AS term, CAST(len(tokens) AS INTEGER) AS n, CAST(CASE WHEN len(tokens) = 1 THEN 0 ELSE coalesce(x[2], 0) END AS INTEGER) AS rare_idx FROM k1 LEFT JOIN m USING (config, tokens)),
 idx AS (SELECT *, tokens[rare_idx + 1] AS rare_word FROM i)"""
 
 
-@query(_INDEX + " SELECT cui, array_to_string(tokens, ' ') AS term, n, rare_idx, rare_word FROM idx")
+_INDEX = _index_sql()
+
+
+def _terms(spark: SparkSession, d: str) -> DataFrame:
+    return bsv_rows(read_table(spark, d, "term_lines"), TERMS)
+
+
+@query(_INDEX + ", w AS (SELECT term, count(*) AS n_concepts FROM mem GROUP BY term) SELECT term, n, rare_idx, rare_word, n_concepts FROM idx JOIN w USING (term)")
 def rare_word_index(spark: SparkSession, d: str) -> DataFrame:
-    terms = bsv_rows(read_table(spark, d, "term_lines"), TERMS)
-    return lookup.term_index(terms, ["cui"], tk.simple_tokens(F.col("str"))).select("cui", F.array_join("tokens", " ").alias("term"), "n", "rare_idx", "rare_word").distinct()
+    terms, words = _terms(spark, d), tk.plain_tokens(F.col("str"))
+    members = lookup.membership(terms, words, ["cui"]).groupBy("term").agg(F.count(F.lit(1)).alias("n_concepts"))
+    return lookup.term_classes(terms, words).join(members, "term").select("term", "n", "rare_idx", "rare_word", "n_concepts")
 
 
-_HITS = _INDEX + f""",
-dt AS ({_TOK}),
-a AS (SELECT doc_id, t, unnest(t) AS word, generate_subscripts(t, 1) - 1 AS pos FROM dt),
-h AS (SELECT DISTINCT doc_id, cui, CAST(pos - rare_idx AS INTEGER) AS "begin", CAST(pos - rare_idx + n AS INTEGER) AS "end" FROM a JOIN idx ON word = rare_word
+@query(_INDEX + " SELECT n, count(*) AS n_terms, count(DISTINCT rare_word) AS n_rare_words FROM idx GROUP BY n")
+def index_cached(spark: SparkSession, d: str) -> DataFrame:
+    """The index read from the cache that the first call for a vocabulary writes."""
+    lines = read_table(spark, d, "term_lines").select("line")
+    index = cached_index(spark, lines, TERMS, f"{fresh_folder(spark, 'index')}", lambda x: lookup.term_classes(bsv_rows(x, TERMS), tk.plain_tokens(F.col("str"))))
+    return index.groupBy("n").agg(F.count(F.lit(1)).alias("n_terms"), F.countDistinct("rare_word").alias("n_rare_words"))
+
+
+_SENTENCES = f"""
+sn AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '[\r\n]+', chr(1), 'g'), '([.!?])[ \t\f]+', '\1' || chr(1), 'g'), chr(1)), lambda x: regexp_extract_all(lower(x), '{_WORDS}')), lambda t: len(t) > 0) AS s FROM documents WHERE text IS NOT NULL),
+dt AS (SELECT doc_id, unnest(s) AS t, CAST(generate_subscripts(s, 1) - 1 AS INTEGER) AS sent_no FROM sn),
+a AS (SELECT doc_id, sent_no, t, unnest(t) AS word, generate_subscripts(t, 1) - 1 AS pos FROM dt)"""
+_MATCH = """,
+h AS (SELECT doc_id, sent_no, config, term, CAST(pos - rare_idx AS INTEGER) AS "begin", CAST(pos - rare_idx + n AS INTEGER) AS "end" FROM a JOIN idx ON word = rare_word
       WHERE n = 1 OR (pos - rare_idx >= 0 AND t[pos - rare_idx + 1 : pos - rare_idx + n] = tokens))"""
+_HITS = f"{_INDEX},{_SENTENCES}{_MATCH}"
 
 
 def _hits(spark: SparkSession, d: str, **more) -> DataFrame:
-    return lookup.hits(read_table(spark, d, "documents"), bsv_rows(read_table(spark, d, "term_lines"), TERMS), **more)
+    return lookup.spans(read_table(spark, d, "documents"), _terms(spark, d), **more)
 
 
-@query(_HITS + " SELECT * FROM h")
+@query(_HITS + ' SELECT doc_id, sent_no, term, "begin", "end" FROM h')
 def vocab_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Spans of all documents by term class; the concepts of the classes are ``vocab_members``."""
     return _hits(spark, d)
 
 
-@query(_HITS.replace("ON word = rare_word\n      WHERE", "ON word = rare_word\n      WHERE word NOT IN ('scalp', 'neck') AND (").replace("= tokens))", "= tokens)))") + " SELECT cui, count(*) AS n_spans FROM h GROUP BY cui")
-def exclusion_anchor(spark: SparkSession, d: str) -> DataFrame:
-    return _hits(spark, d, exclude=["scalp", "neck"]).groupBy("cui").agg(F.count(F.lit(1)).alias("n_spans"))
+@query(_INDEX + " SELECT term, cui FROM mem")
+def vocab_members(spark: SparkSession, d: str) -> DataFrame:
+    return lookup.membership(_terms(spark, d), tk.plain_tokens(F.col("str")), ["cui"])
+
+
+_BY_CUI = " SELECT cui, sum(k)::BIGINT AS n_spans FROM (SELECT term, count(*) AS k FROM h GROUP BY term) JOIN mem USING (term) GROUP BY cui"
 
 
-_CONFIG_INDEX = _HITS.replace("SELECT DISTINCT p[1] AS cui", "SELECT DISTINCT file_path || '|' || p[1] AS cui").replace("SELECT string_split(lower(line), '|') AS p FROM", "SELECT file_path, string_split(lower(line), '|') AS p FROM")
+def _by_cui(spans: DataFrame, members: DataFrame) -> DataFrame:
+    """Spans per concept: counted by class first, so that no span is repeated for its concepts."""
+    return spans.groupBy("term").agg(F.count(F.lit(1)).alias("k")).join(members, "term").groupBy("cui").agg(F.sum("k").alias("n_spans"))
 
 
-@query(_CONFIG_INDEX + " SELECT string_split(cui, '|')[1] AS config, count(*) AS n_hits, count(DISTINCT doc_id) AS n_docs FROM h GROUP BY 1")
+@query(_HITS + _BY_CUI)
+def concept_spans(spark: SparkSession, d: str) -> DataFrame:
+    return _by_cui(_hits(spark, d), vocab_members(spark, d))
+
+
+@query(_HITS.replace("WHERE n = 1 OR", "WHERE word NOT IN ('scalp', 'neck') AND (n = 1 OR").replace("= tokens))", "= tokens)))") + _BY_CUI)
+def exclusion_anchor(spark: SparkSession, d: str) -> DataFrame:
+    return _by_cui(_hits(spark, d, exclude=["scalp", "neck"]), vocab_members(spark, d))
+
+
+@query(f"{_index_sql(True)},{_SENTENCES}{_MATCH}" + " SELECT config, count(*) AS n_hits, count(DISTINCT doc_id) AS n_docs FROM h GROUP BY config")
 def vocab_lookup_multi(spark: SparkSession, d: str) -> DataFrame:
-    rows = _rows(spark, d).select(F.concat_ws("|", "file_path", "cui").alias("cui"), "str").distinct()
-    h = lookup.hits(read_table(spark, d, "documents"), rows).withColumn("config", F.get(F.split("cui", r"\|"), F.lit(0)))
+    """All vocabularies in one join; each has its own rarest tokens."""
+    terms = _rows(spark, d).select(F.col("file_path").alias("config"), "cui", "str").dropDuplicates()
+    h = lookup.spans(read_table(spark, d, "documents"), terms, group=["config"])
     return h.groupBy("config").agg(F.count(F.lit(1)).alias("n_hits"), F.countDistinct("doc_id").alias("n_docs"))
 
 
 _ANN = _HITS + f""",
 g AS ({_GROUPS}),
-an AS (SELECT doc_id, coalesce(semantic, 'unknown') AS semantic, "begin", "end", list_sort(list(DISTINCT cui)) AS cuis FROM h LEFT JOIN g USING (cui) GROUP BY ALL)"""
+cg AS (SELECT term, coalesce(semantic, 'unknown') AS semantic, count(*) AS n_concepts, min(cui) AS first_cui FROM mem LEFT JOIN g USING (cui) GROUP BY ALL),
+an AS (SELECT doc_id, sent_no, term, "begin", "end", semantic, n_concepts, first_cui FROM h JOIN cg USING (term))"""
 
 
 def _annotations(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.annotations(_hits(spark, d), lookup.concepts(_rows(spark, d)), ["doc_id"])
+    return lookup.annotations(_hits(spark, d), lookup.class_groups(vocab_members(spark, d), lookup.concepts(_rows(spark, d))))
 
 
-@query(_ANN + """ SELECT doc_id, semantic, "begin", "end", array_to_string(cuis, ',') AS cuis FROM an""")
+@query(_ANN + """ SELECT doc_id, sent_no, semantic, "begin", "end", term, n_concepts, first_cui FROM an""")
 def semantic_regroup(spark: SparkSession, d: str) -> DataFrame:
-    return _annotations(spark, d).withColumn("cuis", F.array_join("cuis", ","))
+    return _annotations(spark, d).select("doc_id", "sent_no", "semantic", "begin", "end", "term", "n_concepts", "first_cui")
+
+
+_KEPT = """(SELECT * FROM an x WHERE NOT EXISTS (SELECT 1 FROM an y WHERE y.doc_id = x.doc_id AND y.sent_no = x.sent_no AND y.semantic = x.semantic AND y."begin" <= x."begin" AND y."end" >= x."end" AND y."end" - y."begin" > x."end" - x."begin"))"""
 
 
-@query(_ANN + """ SELECT doc_id, semantic, "begin", "end" FROM an x WHERE NOT EXISTS (SELECT 1 FROM an y WHERE y.doc_id = x.doc_id AND y.semantic = x.semantic AND y."begin" <= x."begin" AND y."end" >= x."end" AND y."end" - y."begin" > x."end" - x."begin")""")
+@query(_ANN + f""" SELECT doc_id, sent_no, semantic, "begin", "end", term FROM {_KEPT}""")
 def precision_spans(spark: SparkSession, d: str) -> DataFrame:
-    return lookup.longest(_annotations(spark, d), ["doc_id", "semantic"]).select("doc_id", "semantic", "begin", "end")
+    return lookup.longest(_annotations(spark, d), ["doc_id", "sent_no", "semantic"]).select("doc_id", "sent_no", "semantic", "begin", "end", "term")
 
 
-@query(f"""SELECT upper(cui) AS cui, min(pref) AS pref, coalesce(array_to_string(list_sort(list(DISTINCT t)), ','), '') AS tuis, count(DISTINCT CASE WHEN sab <> '' THEN (sab, code) END) AS n_codes
-FROM (SELECT *, unnest(CASE WHEN len(x) = 0 THEN [NULL] ELSE x END) AS t FROM (SELECT *, list_filter(string_split(upper(regexp_replace(tui, '[\\[\\]\\s]', '', 'g')), ','), lambda y: y <> '') AS x FROM ({_BSV_ALL}))) WHERE tui IS NOT NULL GROUP BY 1""")
+@query(f"""SELECT upper(cui) AS cui, arg_min(pref, (line_id, pref)) AS pref, coalesce(array_to_string(list_sort(list(DISTINCT t)), ','), '') AS tuis, count(DISTINCT CASE WHEN sab <> '' THEN (sab, code) END) AS n_codes
+FROM (SELECT *, unnest(CASE WHEN len(x) = 0 THEN [NULL] ELSE x END) AS t FROM (SELECT *, list_filter(string_split(upper(regexp_replace(tui, '[\\[\\]\\s]', '', 'g')), ','), lambda y: y <> '') AS x FROM ({_BSV_ALL}))) WHERE tui IS NOT NULL AND pref IS NOT NULL GROUP BY 1""")
 def concept_merge(spark: SparkSession, d: str) -> DataFrame:
-    merged = lookup.merged_concepts(_rows(spark, d).filter("tui IS NOT NULL"))
+    merged = lookup.merged_concepts(_rows(spark, d).filter("tui IS NOT NULL AND pref IS NOT NULL"), ["line_id"])
     return merged.select("cui", "pref", F.array_join("tuis", ",").alias("tuis"), F.size("codes").cast("long").alias("n_codes"))
 
 
@@ -211,13 +255,10 @@ def polarity_right(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT p_size, count(*) AS n, count(*) FILTER (WHERE p_partkey % 6 IN (0, 2, 5)) AS n_negative FROM part GROUP BY p_size")
 def polarity_by_size(spark: SparkSession, d: str) -> DataFrame:
-    notes = read_table(spark, d, "part").select("p_size", F.expr(f"concat({_CUE}, 'rash today .')").alias("text"))
-
-    @F.pandas_udf("boolean")
-    def negative(text):
-        return text.map(lambda s: attributes.is_negative(tk.tokenize(s), s.index("rash"), s.index("rash") + 4))
-
-    return notes.withColumn("neg", negative("text")).groupBy("p_size").agg(F.count(F.lit(1)).alias("n"), F.count_if("neg").alias("n_negative"))
+    t = read_table(spark, d, "part").select("p_size", F.split(F.expr(f"concat({_CUE}, 'rash today .')"), " ").alias("t")).withColumn("at", F.array_position("t", "rash").cast("int") - 1)
+    left, right = attributes.side_words(F.col("t"), F.col("at"), True, 20), attributes.side_words(F.col("t"), F.col("at") + 1, False, 10)
+    negative = attributes.negated_words(left) | attributes.negated_words(right)
+    return t.withColumn("neg", negative).groupBy("p_size").agg(F.count(F.lit(1)).alias("n"), F.count_if("neg").alias("n_negative"))
 
 
 # ---- medications
@@ -227,11 +268,40 @@ _FREQ = "CASE p_partkey % 5 WHEN 0 THEN 'twice daily' WHEN 1 THEN 'tid' WHEN 2 T
 
 @query("""SELECT p_partkey, 0 + p_size || '' AS strength, 'mg' AS unit, CASE p_partkey % 3 WHEN 0 THEN 'tablet' WHEN 1 THEN 'capsule' ELSE 'solution' END AS form,
 CASE p_partkey % 2 WHEN 0 THEN 'Enteral_Oral' ELSE 'Parenteral_Intravenous' END AS route,
-CASE p_partkey % 5 WHEN 0 THEN '2.0' WHEN 1 THEN '3.0' WHEN 2 THEN '4.0' WHEN 4 THEN '3.0' END AS frequency FROM part""")
+CASE p_partkey % 5 WHEN 0 THEN '2.0' WHEN 1 THEN '3.0' WHEN 2 THEN '4.0' WHEN 4 THEN '3.0' END AS frequency, CAST(NULL AS VARCHAR) AS duration FROM part""")
 def drug_attributes(spark: SparkSession, d: str) -> DataFrame:
     note = f"concat('She takes metformin ', p_size, ' mg ', CASE p_partkey % 3 WHEN 0 THEN 'tablet' WHEN 1 THEN 'capsule' ELSE 'solution' END, CASE p_partkey % 2 WHEN 0 THEN ' orally ' ELSE ' iv ' END, {_FREQ}, ' now .')"
     notes = read_table(spark, d, "part").select("p_partkey", F.expr(note).alias("text"), F.lit("metformin").alias("drug"))
-    return attributes.with_drug_attributes(notes, "p_partkey", "text", "drug").select("p_partkey", "strength", "unit", "form", "route", "frequency")
+    return attributes.with_drug_attributes(notes, "p_partkey", "text", "drug").select("p_partkey", "strength", "unit", "form", "route", "frequency", "duration")
+
+
+_INTENDED = "CASE p_partkey % 6 WHEN 0 THEN 'started today' WHEN 1 THEN 'was stopped' WHEN 2 THEN 'increased to' WHEN 3 THEN 'no change' WHEN 4 THEN 'then' ELSE 'given' END"
+
+
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'start' WHEN 1 THEN 'stop' WHEN 2 THEN 'increase' WHEN 3 THEN 'noChange' WHEN 4 THEN 'change' END AS status, 'for ' || p_size || ' days' AS duration FROM part")
+def drug_intended(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of status and durations by the word lists as they seem meant."""
+    notes = read_table(spark, d, "part").select("p_partkey", F.expr(f"concat('Aspirin ', {_INTENDED}, ' for ', p_size, ' days and more .')").alias("text"), F.lit("aspirin").alias("drug"))
+    return attributes.with_drug_attributes(notes, "p_partkey", "text", "drug", intended=True).select("p_partkey", "status", "duration")
+
+
+_TIMES = "CASE p_partkey % 8 WHEN 0 THEN '12 hrs' WHEN 1 THEN '8 to 10 hours' WHEN 2 THEN 'q six hours' WHEN 3 THEN 'as needed' WHEN 4 THEN 'per week' WHEN 5 THEN '8 am' WHEN 6 THEN '14:30' ELSE 'q4h' END"
+
+
+@query("SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN '12 hrs' WHEN 1 THEN '8 to 10 hours' WHEN 2 THEN 'q six hours' WHEN 3 THEN 'as needed' WHEN 5 THEN '8 am' WHEN 6 THEN '14:30' WHEN 7 THEN 'q4h' END AS unit, CASE p_partkey % 8 WHEN 0 THEN '2.0' WHEN 1 THEN '3.0' WHEN 2 THEN '4.0' WHEN 7 THEN '5.0' END AS frequency FROM part")
+def drug_frequency_units(spark: SparkSession, d: str) -> DataFrame:
+    """Times, hours and weeks as units of frequency; of two readings with one span the lesser number comes first."""
+    notes = read_table(spark, d, "part").select("p_partkey", F.expr(f"concat('take aspirin ', {_TIMES}, ' if worse .')").alias("text"), F.lit("aspirin").alias("drug"))
+    return attributes.with_drug_attributes(notes, "p_partkey", "text", "drug").select("p_partkey", F.col("frequency_unit").alias("unit"), "frequency")
+
+
+@query("SELECT p_partkey, '0.' || (1 + p_partkey % 9) || '-' AS decimal_like, p_size || '.5-' || (p_size + 1) AS decimal_range FROM part")
+def drug_decimals(spark: SparkSession, d: str) -> DataFrame:
+    """Decimal ranges read from tokens that stand apart."""
+    notes = read_table(spark, d, "part").select("p_partkey", F.expr("concat('give ', p_size, ' . 5 - ', p_size + 1, ' or 0 . ', 1 + p_partkey % 9, ' - now and then')").alias("text"))
+    spans = attributes.with_spans(notes, "p_partkey", "text", [*M.RANGE_STRENGTH, M.DECIMAL_STRENGTH])
+    whole = lambda kind: F.regexp_replace(F.max_by(F.when(F.col("kind") == kind, F.col("span")), F.when(F.col("kind") == kind, F.length("span"))), " ", "")
+    return spans.groupBy("p_partkey").agg(F.concat(whole("decimal"), F.lit("-")).alias("decimal_like"), whole("range").alias("decimal_range"))
 
 
 @query("SELECT p_partkey, k AS nth, CASE k WHEN 1 THEN p_size || '' WHEN 2 THEN '5' END AS strength, CASE k WHEN 1 THEN 'tablet' END AS form FROM part, (SELECT unnest([1, 2]) AS k)")
@@ -245,7 +315,7 @@ def drug_window(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT p_partkey, p_size || '-' || (p_size + 5) AS range_span, '1/' || (2 + p_partkey % 3) AS fraction_span FROM part")
 def drug_range_fraction(spark: SparkSession, d: str) -> DataFrame:
     notes = read_table(spark, d, "part").select("p_partkey", F.expr("concat('give ', p_size, '-', p_size + 5, ' mg or 1/', 2 + p_partkey % 3, ' tablet now')").alias("text"))
-    spans = attributes.with_spans(notes, "p_partkey", "text", [M.RANGE_STRENGTH, M.FRACTION_STRENGTH])
+    spans = attributes.with_spans(notes, "p_partkey", "text", [*M.RANGE_STRENGTH, *M.FRACTION_STRENGTH])
     pick = lambda kind, like: F.max(F.when((F.col("kind") == kind) & F.col("span").contains(like), F.col("span")))
     return spans.groupBy("p_partkey").agg(pick("range", "-").alias("range_span"), pick("fraction", "/").alias("fraction_span"))
 
@@ -272,15 +342,29 @@ def drug_status(spark: SparkSession, d: str) -> DataFrame:
 # ---- laboratory
 
 
-@query("SELECT o_orderkey, month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) AS span FROM orders")
+_DATE_TEXT = """CASE o_orderkey % 3 WHEN 0 THEN month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) WHEN 1 THEN month(o_orderdate) || '-' || day(o_orderdate) ELSE 'Oct. ' || day(o_orderdate) || ', ' || year(o_orderdate) END"""
+
+
+@query(f"SELECT o_orderkey, {_DATE_TEXT} AS span FROM orders")
 def lab_dates(spark: SparkSession, d: str) -> DataFrame:
-    notes = read_table(spark, d, "orders").select("o_orderkey", F.expr("concat('drawn on ', month(o_orderdate), '/', day(o_orderdate), '/', year(o_orderdate), ' at noon')").alias("text"))
-    spans = attributes.with_spans(notes, "o_orderkey", "text", M.DATES)
-    return spans.groupBy("o_orderkey").agg(F.max_by("span", F.length("span")).alias("span"))
+    """Long dates swallow the short ones in them."""
+    notes = read_table(spark, d, "orders").select("o_orderkey", F.expr(f"concat('drawn on ', {_DATE_TEXT}, ' at noon')").alias("text"))
+    return attributes.with_spans(notes, "o_orderkey", "text", M.date_spans).select("o_orderkey", "span")
 
 
-@query("SELECT c_custkey, (c_custkey % 300) || '' AS value, 'mg/dl' AS unit FROM customer")
+_LAB_TEXT = "CASE c_custkey % 4 WHEN 0 THEN concat('serum glucose ', 20 + c_custkey % 300, ' mg/dl today') WHEN 1 THEN concat('glucose : ', 20 + c_custkey % 300, ' mg/dl') WHEN 2 THEN concat('on 10/15/94 glucose : ', 20 + c_custkey % 300, '-', c_custkey % 300 + 29, ' mg/dl') ELSE concat('glucose normal , sodium ', 20 + c_custkey % 300, ' mmol/l') END"
+
+
+@query("SELECT c_custkey, CASE c_custkey % 4 WHEN 1 THEN 20 + c_custkey % 300 || '' WHEN 2 THEN 20 + c_custkey % 300 || '-' || (c_custkey % 300 + 29) END AS value, CASE WHEN c_custkey % 4 IN (1, 2) THEN 'mg/dl' END AS unit FROM customer")
 def lab_link(spark: SparkSession, d: str) -> DataFrame:
+    """Values linked by the published CRF, which starts unlinked and doesn't link a lone value right behind its mention."""
+    notes = read_table(spark, d, "customer").select("c_custkey", F.expr(_LAB_TEXT).alias("text"), F.lit("glucose").alias("lab"))
+    return attributes.with_lab_values(notes, "c_custkey", "text", "lab", resources.read_model(resources.LAB_CRF)).select("c_custkey", "value", "unit")
+
+
+@query("SELECT c_custkey, (c_custkey % 300) || '' AS value, 'mg/dl' AS unit FROM customer")
+def lab_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """Values linked by the fallback: the nearest to the right."""
     notes = read_table(spark, d, "customer").select("c_custkey", F.expr("concat('serum glucose was ', c_custkey % 300, ' mg/dl today , pulse 80')").alias("text"), F.lit("glucose").alias("lab"))
     return attributes.with_lab_values(notes, "c_custkey", "text", "lab").select("c_custkey", "value", "unit")
 
@@ -296,11 +380,7 @@ def lab_range_fraction(spark: SparkSession, d: str) -> DataFrame:
 def lab_units(spark: SparkSession, d: str) -> DataFrame:
     notes = read_table(spark, d, "customer").select("c_custkey", F.expr("concat('sodium 140', CASE c_custkey % 4 WHEN 0 THEN ' mg/dl ' WHEN 1 THEN ' mmol/l ' WHEN 2 THEN '% ' ELSE ' mmx ' END, 'seen')").alias("text"))
 
-    @F.pandas_udf("string")
-    def unit(text):
-        return text.map(lambda s: (lambda u: s[u[0] : u[1]] if u else None)(attributes.unit_after(s, s.index("140") + 3)))
-
-    return notes.select("c_custkey", unit("text").alias("unit"))
+    return notes.select("c_custkey", attributes.unit_column(F.substring_index("text", "140", -1)).alias("unit"))
 
 
 # ---- smoking
@@ -327,67 +407,59 @@ def smoking_document(spark: SparkSession, d: str) -> DataFrame:
 def svm_predict(spark: SparkSession, d: str) -> DataFrame:
     model = {"kernel": "linear", "labels": [1, 2], "counts": [1, 1], "vectors": [[1.0, 0.0], [0.0, 1.0]], "coefficients": [[0.5, -0.25]], "rho": [1.0]}
 
-    @F.pandas_udf("int")
-    def label(a, b):
-        return a.combine(b, lambda x, y: smoking.svm_predict([float(x), float(y)], model)).astype("int32")
+    x = read_table(spark, d, "customer").select("c_custkey", F.array(F.expr("double(c_custkey % 7)"), F.expr("double(c_custkey % 5)")).alias("x"))
+    return x.select("c_custkey", smoking.svm_column(F.col("x"), model).alias("label"))
 
-    return read_table(spark, d, "customer").select("c_custkey", label(F.expr("c_custkey % 7"), F.expr("c_custkey % 5")).alias("label"))
 
+_PCS = "CASE c_custkey % 3 WHEN 0 THEN 'currently smokes a cigar' WHEN 1 THEN 'smoked until 1999' ELSE 'tobacco was discussed' END"
 
-# ---- lemmas, tags, results
 
+@query("SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'CURRENT_SMOKER' WHEN 1 THEN 'PAST_SMOKER' ELSE 'SMOKER' END AS status FROM customer")
+def smoking_svm(spark: SparkSession, d: str) -> DataFrame:
+    """Smokers told apart by a support vector machine over go-words and a date; its weights are given here."""
+    words = resources.SMOKING_GO_WORDS
+    unit = lambda *have: [float(w in have) for w in words] + [float("date" in have)]
+    model = {"labels": [1, 2, 3], "counts": [1, 1, 1], "vectors": [unit("smokes", "currently"), unit("smoked", "date"), unit("tobacco", "discussed")], "coefficients": [[1.0, -1.0, -1.0], [1.0, 1.0, -1.0]], "rho": [0.0, 0.0, 0.0]}
+    notes = read_table(spark, d, "customer").select("c_custkey", F.expr(_PCS).alias("text"))
+    return smoking.with_status(notes, ["c_custkey"], "text", model)
 
-@query("SELECT line_id, form, CASE form WHEN 'feet' THEN 'foot' WHEN 'teeth' THEN 'tooth' ELSE form END AS lemma FROM (SELECT DISTINCT line_id, CASE line_id % 3 WHEN 0 THEN 'feet' WHEN 1 THEN 'teeth' ELSE 'knee' END AS form FROM rule_lines)")
-def lemma_exceptions(spark: SparkSession, d: str) -> DataFrame:
-    forms = read_table(spark, d, "rule_lines").select("line_id", F.expr("CASE line_id % 3 WHEN 0 THEN 'feet' WHEN 1 THEN 'teeth' ELSE 'knee' END").alias("form")).distinct()
-    return forms.withColumn("lemma", tagging.exception_lemma(F.col("form"), {"feet": "foot", "teeth": "tooth"}))
 
+# ---- lemmas, tags, results
 
-@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'study' WHEN 1 THEN 'walk' ELSE '#crd#' END AS lemma FROM part")
-def lemma_rules(spark: SparkSession, d: str) -> DataFrame:
-    rules, bases = {"verb": [("ies", "y"), ("ing", "")]}, {"verb": frozenset(["study", "walk"]), "cardinal": frozenset(["seven"])}
 
-    @F.pandas_udf("string")
-    def base(form, tag):
-        return form.combine(tag, lambda f, t: tagging.lemma(f, t, {}, rules, bases))
+_FORM = "CASE line_id % 4 WHEN 0 THEN 'feet' WHEN 1 THEN 'Teeth' WHEN 2 THEN 'knee' ELSE 'lice' END"
 
-    words = read_table(spark, d, "part").select("p_partkey", F.expr("CASE p_partkey % 3 WHEN 0 THEN 'studies' WHEN 1 THEN 'walking' ELSE 'seven' END").alias("f"), F.expr("CASE p_partkey % 3 WHEN 2 THEN 'CD' ELSE 'VBZ' END").alias("t"))
-    return words.select("p_partkey", base("f", "t").alias("lemma"))
 
+@query(f"SELECT DISTINCT line_id, form, CASE lower(form) WHEN 'feet' THEN 'foot' WHEN 'teeth' THEN 'tooth' WHEN 'lice' THEN 'louse' ELSE lower(form) END AS lemma FROM (SELECT line_id, {_FORM} AS form FROM rule_lines)")
+def lemma_exceptions(spark: SparkSession, d: str) -> DataFrame:
+    table = spark.createDataFrame([("feet", "foot"), ("teeth", "tooth"), ("lice", "louse")], "form string, base string")
+    return tagging.with_exceptions(read_table(spark, d, "rule_lines").select("line_id", F.expr(_FORM).alias("form")).distinct(), "form", table)
 
-@query("SELECT p_partkey, 'dt nn vbz vbg cd' AS tags FROM part")
-def pos_tags(spark: SparkSession, d: str) -> DataFrame:
-    @F.pandas_udf("string")
-    def tags(text):
-        return text.map(lambda s: " ".join(tagging.tag(s.split())))
 
-    return read_table(spark, d, "part").select("p_partkey", tags(F.expr("concat('the ward is testing ', p_size)")).alias("tags"))
+_WORD_TAG = "CASE p_partkey % 6 WHEN 0 THEN 'studies/VBZ' WHEN 1 THEN 'walking/VBG' WHEN 2 THEN 'seven/CD' WHEN 3 THEN 'boxes/NNS' WHEN 4 THEN '3rd/JJ' ELSE 'ran/VBD' END"
 
 
-def _polar(spark: SparkSession, d: str) -> DataFrame:
-    """Longest annotations of all documents with their polarity."""
-    spans = lookup.longest(_annotations(spark, d), ["doc_id", "semantic"])
-    words = read_table(spark, d, "documents").select("doc_id", tk.simple_tokens(F.col("text")).alias("t"))
-    both = spans.join(words, "doc_id")
-    both = both.select(*spans.columns, attributes.side_words(F.col("t"), F.col("begin"), True, 20).alias("l"), attributes.side_words(F.col("t"), F.col("end"), False, 10).alias("r"))
-    negative = attributes.negated_arrays(F.col("l")) | attributes.negated_arrays(F.col("r"))
-    return both.withColumn("polarity", F.when(negative, "negative").otherwise("positive")).drop("l", "r")
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'study' WHEN 1 THEN 'walk' WHEN 2 THEN '#crd#' WHEN 3 THEN 'box' WHEN 4 THEN '#ord#' ELSE 'run' END AS lemma FROM part")
+def lemma_rules(spark: SparkSession, d: str) -> DataFrame:
+    rules = {"verb": [("s", ""), ("ies", "y"), ("ing", "")], "noun": [("s", ""), ("xes", "x")]}
+    bases = {"verb": frozenset(["study", "walk"]), "noun": frozenset(["box"]), "cardinal": frozenset(["seven"])}
+    words = read_table(spark, d, "part").select("p_partkey", F.split(F.expr(_WORD_TAG), "/").alias("w"))
+    return words.select("p_partkey", tagging.lemma_column(F.get("w", F.lit(0)), F.get("w", F.lit(1)), {"verb": {"ran": "run"}}, rules, bases).alias("lemma"))
 
 
-@query()
-def clinical_pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Lookup, longest spans, polarity and the nested response of every document."""
-    rows = _rows(spark, d)
-    return responses.clinical(_polar(spark, d), lookup.merged_concepts(rows), "doc_id")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'dt nn vbz cd' WHEN 1 THEN 'prp vbz dt nn' ELSE 'dt nn vbz cd' END AS tags FROM part")
+def pos_beam(spark: SparkSession, d: str) -> DataFrame:
+    """Tags by a beam search over a maximum-entropy model, in which "run" is a noun behind an article and a verb elsewhere."""
+    model = {"outcomes": ["nn", "vbz", "dt", "prp", "cd"], "weights": {"w=the": {"dt": 5.0}, "w=a": {"dt": 5.0}, "w=she": {"prp": 5.0}, "d": {"cd": 6.0}, "w=run": {"nn": 1.0, "vbz": 1.5}, "t=dt": {"nn": 3.0}, "t=nn": {"vbz": 2.0}, "t=prp": {"vbz": 2.0}}}
+    text = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat('the run run ', p_size) WHEN 1 THEN 'she run a run' ELSE concat('a run run ', p_size) END")
+    return read_table(spark, d, "part").select("p_partkey", tagging.tag_column(F.split(text, " "), model).alias("t")).select("p_partkey", F.array_join("t", " ").alias("tags"))
 
 
-@query(_ANN + """, kept AS (SELECT * FROM an x WHERE NOT EXISTS (SELECT 1 FROM an y WHERE y.doc_id = x.doc_id AND y.semantic = x.semantic AND y."begin" <= x."begin" AND y."end" >= x."end" AND y."end" - y."begin" > x."end" - x."begin"))
-SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY "begin", "end", semantic) - 1 AS INTEGER) AS id, "begin", "end", semantic AS aspect FROM kept""")
-def response_flat(spark: SparkSession, d: str) -> DataFrame:
-    """The responses written as JSON and read back."""
-    schema = "docId string, content array<struct<id:int,text:array<int>,aspect:string>>"
-    back = clinical_pipeline(spark, d).select("doc_id", F.explode(F.from_json("response", schema)["content"]).alias("c"))
-    return back.select("doc_id", "c.id", F.get("c.text", F.lit(0)).alias("begin"), F.get("c.text", F.lit(1)).alias("end"), "c.aspect")
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'dt nn vbz vbg cd' WHEN 1 THEN 'prp vbz dt nn' ELSE 'nns vbd in nn' END AS tags FROM part")
+def pos_tags(spark: SparkSession, d: str) -> DataFrame:
+    """Tags by the fallback, without a model."""
+    text = F.expr("CASE p_partkey % 3 WHEN 0 THEN concat('the ward is testing ', p_size) WHEN 1 THEN 'she takes a pill' ELSE 'nurses walked to town' END")
+    return read_table(spark, d, "part").select("p_partkey", tagging.tag_column(F.split(text, " ")).alias("t")).select("p_partkey", F.array_join("t", " ").alias("tags"))
 
 
 @query(f"SELECT l_orderkey, '{{\"smoking\":{{\"docId\":\"' || l_orderkey || '\",\"smokingStatus\":\"' || arg_max(s, CASE s WHEN 'CURRENT_SMOKER' THEN 5 WHEN 'PAST_SMOKER' THEN 4 WHEN 'SMOKER' THEN 3 WHEN 'NON_SMOKER' THEN 2 ELSE 1 END) || '\"}}}}' AS envelope FROM (SELECT l_orderkey, {_SMOKE_STATUS} AS s FROM lineitem) GROUP BY l_orderkey")
@@ -425,25 +497,72 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
 
 
-def _folder(spark: SparkSession) -> str:
-    return tempfile.mkdtemp(prefix="stream-") if not (c := spark.sparkContext.getConf().get("spark.checkpoint.dir")) else f"{c}/stream-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
-
-
 @query("SELECT event_type, count(DISTINCT event_id) AS n FROM events GROUP BY event_type")
 def stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    once = deduplicated(_stream(spark, d), "event_id", "ts", "3650 days").select("event_id", "event_type")
-    return run_once(once, "wm_dedupe", _folder(spark)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    once = deduplicated(_stream(spark, d), "event_id", "ts", "400 days").select("event_id", "event_type")
+    at = fresh_folder(spark, "stream")
+    return run_once(once, f"{at}/out", f"{at}/state").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"SELECT user_id, CAST(count(*) FILTER (WHERE {_KIND} = 'start') AS INTEGER) AS attempts FROM events GROUP BY user_id")
 def stream_attempts(spark: SparkSession, d: str) -> DataFrame:
     e = _stream(spark, d).select("user_id", F.expr(_KIND).alias("k"))
-    return run_once(attempts(e, "user_id", "k"), "wm_attempts", _folder(spark), "update").groupBy("user_id").agg(F.max("attempts").alias("attempts"))
+    at = fresh_folder(spark, "stream")
+    return run_once(attempts(e, "user_id", "k"), f"{at}/out", f"{at}/state", "update").groupBy("user_id").agg(F.max("attempts").alias("attempts"))
 
 
-@query("SELECT event_id, event_type AS kind, user_id AS owner FROM events")
+@query("SELECT event_id, '{\"event_type\":\"' || event_type || '\",\"extra\":true,\"n\":' || event_id % 10 || ',\"user_id\":' || user_id || '}' AS raw, event_type AS kind, user_id AS owner FROM events")
 def partial_document(spark: SparkSession, d: str) -> DataFrame:
-    raw = read_table(spark, d, "events").select("event_id", F.to_json(F.struct("event_type", "user_id")).alias("raw"))
-    laid = raw.withColumn("raw", tasks.updated(F.col("raw"), F.lit('{"extra":"kept"}')))
-    typed = tasks.partial(laid, "raw", "event_type string, user_id string, extra string")
-    return typed.select("event_id", F.col("typed.event_type").alias("kind"), F.col("typed.user_id").cast("long").alias("owner"))
+    """An update of a partly known document: what isn't known keeps its place and type."""
+    raw = read_table(spark, d, "events").select("event_id", F.to_json(F.struct("event_type", "user_id", F.expr("string(event_id % 10)").alias("n"))).alias("raw"), F.expr("concat('{\"n\":', event_id % 10, ',\"extra\":true}')").alias("new"))
+    laid = tasks.partial(raw.withColumn("raw", tasks.updated(F.col("raw"), F.col("new"))), "raw", "event_type string, user_id long")
+    ordered = F.to_json(F.from_json("raw", "event_type string, extra boolean, n int, user_id long"))
+    return laid.select("event_id", ordered.alias("raw"), F.col("typed.event_type").alias("kind"), F.col("typed.user_id").alias("owner"))
+
+
+@query("SELECT event_id, '{\"document_info\":{\"a\":[1,2]},\"failed_tasks\":[],\"job_id\":' || user_id || '}' AS cached FROM events")
+def cached_projection(spark: SparkSession, d: str) -> DataFrame:
+    raw = read_table(spark, d, "events").select("event_id", F.expr("concat('{\"x\":1,\"document_info\":{\"a\":[1,2]},\"failed_tasks\":[],\"job_id\":', user_id, '}')").alias("raw"))
+    back = tasks.with_projection(raw, "raw").withColumn("c", F.from_json("cached", "document_info struct<a:array<int>>, failed_tasks array<string>, job_id long"))
+    return back.select("event_id", F.to_json("c").alias("cached"))
+
+
+def _worker(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    e = read_table(spark, d, "events")
+    chunks = e.filter("event_id % 11 <> 0").select(F.col("event_id").alias("chunk_id"), F.expr("event_id DIV 10").alias("document_id"), F.col("user_id").alias("job_id"), F.expr("CASE WHEN event_id % 5 = 0 THEN 'completed - success' ELSE 'started' END").alias("status"), F.expr("event_id % 6").alias("attempts"), F.array().cast("array<string>").alias("error_messages"))
+    documents = e.select(F.expr("event_id DIV 10").alias("document_id")).distinct().withColumn("document_failed", F.expr("document_id % 4 = 1"))
+    jobs = e.select("user_id").distinct().select(F.col("user_id").alias("job_id"), F.expr("user_id % 7 = 0").alias("user_canceled"), F.expr("user_id % 3 = 0").alias("stop_documents_on_failure"))
+    messages = e.select(F.col("event_id").alias("message_id"), F.col("event_id").alias("chunk_id"), F.expr("event_id % 2 = 0").alias("redelivered"))
+    annotate = lambda df: df.select("message_id", F.expr("CASE WHEN message_id % 13 <> 0 THEN '{}' END").alias("response"), F.expr("CASE WHEN message_id % 13 = 0 THEN 'ValueError: bad note' END").alias("error"))
+    return process(messages, (chunks, documents, jobs), annotate)
+
+
+_DECIDED = """WITH m AS (SELECT event_id, event_id // 10 AS document_id, CASE WHEN event_id % 11 = 0 THEN 'none' WHEN event_id % 5 = 0 THEN 'skip' WHEN user_id % 7 = 0 THEN 'canceled' WHEN user_id % 3 = 0 AND event_id // 10 % 4 = 1 THEN 'canceled: document failed' WHEN event_id % 6 >= 3 THEN 'completed - failure' ELSE 'run' END AS d FROM events)"""
+
+
+@query(_DECIDED + " SELECT event_id AS chunk_id, CASE WHEN starts_with(d, 'canceled') THEN 'canceled' WHEN d = 'run' THEN CASE WHEN event_id % 13 = 0 THEN 'failed' ELSE 'completed - success' END ELSE d END AS status, CAST(event_id % 6 + 1 AS BIGINT) AS attempts, CAST(d IN ('canceled: document failed', 'completed - failure') OR d = 'run' AND event_id % 13 = 0 AS INTEGER) AS n_errors, CASE WHEN d = 'run' AND event_id % 13 <> 0 THEN 'processed/documents/' || document_id || '/chunks/' || event_id || '/' || event_id || '.fdl_results.json' END AS results_key FROM m WHERE d NOT IN ('skip', 'none')")
+def worker_states(spark: SparkSession, d: str) -> DataFrame:
+    return _worker(spark, d)[1].select("chunk_id", "status", F.col("attempts").cast("long").alias("attempts"), F.size("error_messages").alias("n_errors"), "results_key")
+
+
+@query(_DECIDED + " SELECT document_id, CAST(count(*) AS INTEGER) AS n_failed, string_agg(event_id || '', ',' ORDER BY event_id || '') AS chunks FROM m WHERE d = 'completed - failure' GROUP BY document_id")
+def worker_documents(spark: SparkSession, d: str) -> DataFrame:
+    return _worker(spark, d)[2].select("document_id", F.size("failed_tasks").alias("n_failed"), F.array_join(F.sort_array(F.map_keys("failed_chunks")), ",").alias("chunks"))
+
+
+@query(_DECIDED + " SELECT CASE WHEN d <> 'none' THEN 'ack' WHEN event_id % 2 = 0 THEN 'drop' ELSE 'requeue' END AS action, CASE WHEN d <> 'none' THEN 'fdl' END AS sender, count(*) AS n FROM m GROUP BY ALL")
+def worker_deliveries(spark: SparkSession, d: str) -> DataFrame:
+    return _worker(spark, d)[3].groupBy("action", "sender").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT count(*) FILTER (WHERE event_id % 3 = 0) AS n_results, count(*) AS n_pings FROM events")
+def stream_worker(spark: SparkSession, d: str) -> DataFrame:
+    """The worker over a stream of messages: what it wrote."""
+    e = read_table(spark, d, "events")
+    tables = (e.select(F.col("event_id").alias("chunk_id"), F.col("event_id").alias("document_id"), F.col("user_id").alias("job_id"), F.expr("CASE WHEN event_id % 3 = 0 THEN 'started' ELSE 'completed - success' END").alias("status"), F.lit(0).alias("attempts"), F.array().cast("array<string>").alias("error_messages")),
+              e.select(F.col("event_id").alias("document_id"), F.lit(False).alias("document_failed")), e.select("user_id").distinct().select(F.col("user_id").alias("job_id"), F.lit(False).alias("user_canceled"), F.lit(False).alias("stop_documents_on_failure")))
+    messages = _stream(spark, d).select(F.col("event_id").alias("message_id"), F.col("event_id").alias("chunk_id"), F.lit(False).alias("redelivered"), "ts")
+    at = fresh_folder(spark, "worker")
+    start_worker(messages, lambda: tables, lambda df: df.select("message_id", F.lit("{}").alias("response"), F.lit(None).cast("string").alias("error")), f"{at}/out", f"{at}/state").awaitTermination()
+    count = lambda name: spark.read.schema("message_id long").json(f"{at}/out/{name}").agg(F.count(F.lit(1)).alias(f"n_{name}"))
+    return count("results").withColumn("n_pings", count("pings").scalar())

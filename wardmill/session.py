@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,12 +29,28 @@ def build_session(app: str = "wardmill", master: str | None = None, **conf: str)
     return spark
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names, which all executors share.
 
-    Only where that setting is absent (unit tests on one machine) a folder of our own is used.
+    Where it is unset, a folder of our own on a session that runs in one process (tests); on a cluster an
+    error, since no machine-local folder will do there.
     """
+    sc = spark.sparkContext
+    if named := sc.getConf().get("spark.checkpoint.dir"):
+        return named
+    if sc.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir isn't set: name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "wardmill-checkpoint")
+
+
+def fresh_folder(spark: SparkSession, prefix: str) -> str:
+    """A new path under the shared folder."""
+    return f"{shared_folder(spark)}/{prefix}-{uuid.uuid4()}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or os.path.join(tempfile.gettempdir(), "wardmill-checkpoint"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
