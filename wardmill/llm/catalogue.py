@@ -13,7 +13,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_counts(spark: SparkSession, d: str) -> DataFrame:
-    return term_counts.marked(read_table(spark, d, "rare_terms")).drop("token_id")
+    return term_counts.marked(read_table(spark, d, "rare_terms"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -63,6 +63,6 @@ c AS (SELECT token, count(*) AS occurrences, count(DISTINCT term_id) AS records
 m AS (SELECT c.*, n_records, records <= 2 AS too_rare, records * 100 > n_records * 2 AS too_common FROM c, n)"""
 
 SQL = {
-    "p3_counts": _COUNTS + " SELECT * FROM m",
+    "p3_counts": _COUNTS + " SELECT CAST(row_number() OVER (ORDER BY token) - 1 AS BIGINT) AS token_id, * FROM m",
     "p3_found": _COUNTS + " SELECT token, 'too_rare' AS mark FROM m WHERE too_rare UNION ALL SELECT token, 'too_common' AS mark FROM m WHERE too_common",
 }
