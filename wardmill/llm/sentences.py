@@ -1,13 +1,18 @@
 """Sentence units of notes in any language.
 
 Document-centred disambiguation: whether a word before a period is an abbreviation, and whether the
-capitalised word after it is a name, is settled by unambiguous occurrences elsewhere in the same
-document; where the document is silent, by counts over the whole corpus (words followed by a period and
-a lower-case word or a number; words that start sentences after ! and ?); a short list of abbreviations
-known to all clinics comes first. Terminators, quotation marks and white space follow the script.
-
-The corpus counts are combined map-side and thresholded by share, so that what the tasks get is bounded
-whatever the corpus: at most 1/MIN_SHARE words of either kind. The documents are split where they lie.
+capitalised word after it is a name, is settled by unambiguous occurrences elsewhere: first in the same
+document (the word followed by a period and a lower-case word or a comma; the next word in lower case),
+then in the whole corpus. No list of abbreviations is kept. The corpus says of each word that stands before
+a period how often a lower-case word, a number or a comma follows, and how often the capitalised word
+behind it is one that starts sentences (it often stands behind ! and ?). A word
+behind whose period almost only names and codes follow never ends a sentence; one that lower-case words
+follow often, but starters too, may. Terminators, quotation marks and white space follow the script.
+
+The corpus is read once, in Arrow batches that count for themselves; counts and tests are distributed, and
+the criteria are counts and ratios that don't move with the size of the corpus. What passes them is sent
+to the tasks if it is at most ``MOST_WORDS``; beyond, each document gets the words that stand in it by a
+join. The documents are split where they lie. Two jobs run while the frame is built.
 
 Defined cases: null, empty and blank texts give no units; offsets are code points; a text in which
 nothing ends a unit is one unit; an opening quotation mark without its partner in the same paragraph
@@ -17,7 +22,8 @@ is ignored.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -25,19 +31,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardmill.frames import spread
+from wardmill.session import checkpoint
+
+#: Occurrences that make evidence.
+LEAST = 3
+#: Different names and codes behind a word (or any behind whose own period a sentence can't end) that say something even if nothing goes on in lower case.
+ALONE = 8
+#: A word is an abbreviation if so large a share of its periods goes on in lower case, with a number or a comma.
+GOES_ON_SHARE = 0.1
+#: A word starts sentences if it starts so large a share of those behind ! and ?.
+OFTEN = 1 / 2_000
+#: It never ends a sentence if so small a share of the capitalised words behind it are starters.
+STARTER_SHARE = 0.25
+#: Words of evidence that are sent to the tasks at most (some 20 MB).
+MOST_WORDS = 500_000
 
-MIN_SHARE = 1 / 20_000
-STARTER_SHARE = 1 / 2_000
-
-# Abbreviations that need something after them, and those that may end a sentence.
-NEVER_LAST = frozenset(
-    "Dr Drs Mr Mrs Ms Prof Sgt Lt Capt Col Gen Rev Hon St Hr Sr Sra Srta Dra Mme Mlle Fig Figs No Nos Nr vs Vs Cf cf Ref approx Approx ca env aprox bzw incl Incl "
-    "Resp Sat Temp Ext Ver Vol pp ed eds med pt Pt pts i.e e.g I.e E.g z.B d.h u.a Ud Uds Vd Vds ej ex Abb Bd Tel tel Mt dept Dept Jan Feb Mar Apr Jun Jul Aug Sep Sept Oct Nov Dec "
-    "каб рис стр тел ул им см".split()
-) - {"см"}
-MAY_BE_LAST = frozenset("etc usw a.m p.m b.i.d t.i.d q.i.d q.d q.h.s p.r.n h.s p.o hr hrs min mins sec h mg mcg ml mL g kg cm mm km dl dL g/l g/dl g/dL mg/dl in ft lb oz wk wks yr yrs Jr Inc Ltd Co г см кг др".split())
 MONTHS_DE = frozenset("Januar Jänner Februar März April Mai Juni Juli August September Oktober November Dezember".split())
-NOT_STARTERS = frozenset("and or as in for with then of at was is were by to from but did".split())
 PAIRS = {"„": "“”", "“": "”", "«": "»", "‹": "›", "「": "」", "『": "』", '"': '"'}
 OPENERS = "\"'“„«‹「『(（[【¿¡"
 GOES_ON = frozenset(",，、;；:：—–-)）]】.。/")
@@ -55,15 +64,16 @@ _THAI = re.compile(r"[ก-๏๚๛]")
 _EVIDENCE = re.compile(r"\.,|\. (?=[a-zß-öø-ÿа-яё])")
 
 
-#: Lower-case words met before a period that neither a list nor the corpus takes for abbreviations (a cache).
+#: Lower-case words met before a period that the corpus doesn't take for abbreviations (a cache).
 _plain: set[str] = set()
 _plain_of: object = None
 
 
 @dataclass(frozen=True)
 class Corpus:
-    """What the whole corpus says: words that are abbreviations, words that start sentences."""
+    """What the whole corpus says: words that never end a sentence, abbreviations that may, words that start sentences."""
 
+    never: frozenset[str] = field(default_factory=frozenset)
     abbreviations: frozenset[str] = field(default_factory=frozenset)
     starters: frozenset[str] = field(default_factory=frozenset)
 
@@ -149,32 +159,33 @@ class Document:
 
     def starts(self, q: int, hi: int) -> bool:
         word = re.match(r"[\w']*", self.text[q : min(hi, q + 24)])[0]
-        return word in self.corpus.starters and word not in NOT_STARTERS or not word
+        return word in self.corpus.starters or not word
 
     def after_word(self, w: str, lo: int, p: int, q: int, k: int, c: str, hi: int) -> bool:
-        text = self.text
-        known = w in NEVER_LAST or self.lower and w.capitalize() in NEVER_LAST
-        if known:
-            return False
-        if len(w) == 1 and w.isalpha():
+        """Whether a sentence ends behind the word w, its period and a capital, a digit or (in text without capitals) any letter."""
+        text, corpus = self.text, self.corpus
+        following = re.match(r"\w*", text[k : min(hi, k + 24)])[0]
+        if len(w) == 1 and w.isalpha():  # an initial, or a unit behind a number
             if "؀" <= w <= "ۿ":
                 return False
             counted = text[max(lo, p - 3) : p - 1].strip()[-1:].isdigit()
             if not counted:
                 if w.islower():
                     return False
-                following = re.match(r"\w*", text[k : min(hi, k + 24)])[0]
                 return len(following) > 1 and following[:1].isupper() and self.common(following)
             return self.starts(q, hi) if self.lower else True
-        if w in MAY_BE_LAST or re.fullmatch(r"(?:[a-z]\.)+[a-z]", w):
-            return self.starts(q, hi) if self.lower else True
         if self.lower:
-            return w not in self.corpus.abbreviations
-        if w in self.corpus.abbreviations or w in self.abbreviations:
-            if c.isdigit():
+            if w in corpus.never or w.capitalize() in corpus.never:
                 return False
-            following = re.match(r"\w*", text[k : min(hi, k + 24)])[0]
-            return not following or self.common(following)
+            return self.starts(q, hi) if w in corpus.abbreviations or w.capitalize() in corpus.abbreviations or "." in w else True
+        if w in corpus.never:
+            return False
+        own = w in self.abbreviations
+        if w in corpus.abbreviations or re.fullmatch(r"(?:[^\W\d_]\.)+[^\W\d_]", w):
+            # an abbreviation that may end a sentence: a number goes on; a capitalised word doesn't
+            return not c.isdigit() or "." in w
+        if own:  # only this document shows that it is one
+            return not c.isdigit() and (not following or self.common(following))
         if c.isupper() and len(_plain) < 100_000 and w.isalpha() and len(w) > 2 and w.islower():
             _plain.add(w)
         return True
@@ -335,34 +346,92 @@ def split(text: str | None, corpus: Corpus = Corpus()) -> list[tuple[int, int]]:
     return Document(text, corpus).units() if text else []
 
 
-def corpus_evidence(documents: DataFrame) -> Corpus:
-    """Counts over all documents, as far as they pass the shares that bound them."""
-    text = documents.filter(F.col("text") != F.lower("text")).select("text")
-    periods = F.regexp_extract_all("text", F.lit(r"(?<![\p{L}.])(\p{L}[\p{L}.]{0,9}\. [\p{L}\p{Nd}])"), F.lit(1))
-    starts = F.transform(F.regexp_extract_all("text", F.lit(r"[!?] (\p{Lu}\p{Ll}+)"), F.lit(1)), lambda w: F.concat(F.lit("\t"), w))
-    seen = text.select(F.explode(F.concat(periods, starts)).alias("s")).groupBy(
-        F.when(F.col("s").startswith("\t"), F.col("s")).otherwise(F.expr("substring(s, 1, length(s) - 3)")).alias("word"),
-    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.substring("s", -1, 1).rlike(r"[\p{Ll}\p{Nd}]")).alias("followed"))
-    starter = F.col("word").startswith("\t")
-    total = F.sum(F.when(starter, 0).otherwise(F.col("n"))).alias("periods"), F.sum(F.when(starter, F.col("n")).otherwise(0)).alias("starts")
-    totals = seen.agg(*total)
-    # two small jobs over the same counts; the totals come as scalars into the threshold
-    enough = F.when(starter, F.col("n") >= F.greatest(F.lit(2), STARTER_SHARE * totals.select("starts").scalar())).otherwise((F.col("followed") >= F.greatest(F.lit(3), MIN_SHARE * totals.select("periods").scalar())) & (F.col("followed") * 4 >= F.col("n")))
-    rows = [r.word for r in seen.filter(enough).select("word").collect()]
-    return Corpus(frozenset(w for w in rows if w[0] != "\t"), frozenset(w[1:].lower() for w in rows if w[0] == "\t"))
-
-
-def sentences(documents: DataFrame, with_text: bool = True) -> DataFrame:
+_BEFORE = re.compile(r"(?<![\w.])([^\W\d_](?:\.?[^\W\d_]){0,11})\.(?=(,)|[ \n]([^\W_]\w*\.?))")
+_BEHIND = re.compile(r"[!?][ \n]+([^\W\d_]\w*)")
+
+
+def _observe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, next, n) of a batch: a word before a period and what follows it (a capitalised word in lower case, with its own period if it has one, ``0`` for what goes on; letters without case say nothing); and starters with an empty word."""
+    for b in batches:
+        seen: Counter = Counter()
+        for text in b.column(0).to_pylist():
+            if not text:
+                continue
+            lines = [x for x in text.split("\n") if not x.islower()]
+            for line in lines:
+                for w, comma, follows in _BEFORE.findall(line):
+                    first = follows[:1]
+                    if first.isupper():
+                        seen[w, follows.lower()] += 1
+                    elif comma or first.islower() or first.isdigit():
+                        seen[w, "0"] += 1
+                for x in _BEHIND.findall(line):
+                    seen["", x.lower()] += 1
+        words, follows = zip(*seen) if seen else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(follows, pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "next", "n"])
+
+
+def evidence(documents: DataFrame) -> DataFrame:
+    """word, kind (never, abbreviation or starter): what the counts over all documents say. One scan."""
+    seen = checkpoint(spread(documents.select("text")).mapInArrow(_observe, "word string, next string, n long").groupBy("word", "next").agg(F.sum("n").alias("n")))
+    behind = seen.filter("word = ''")
+    often = F.greatest(F.lit(LEAST), behind.agg(F.sum("n")).scalar() * F.lit(OFTEN))
+    starters = behind.filter(F.col("n") >= often).select(F.col("next").alias("s"))
+    pairs = seen.filter("word <> ''")
+    capital = pairs.filter("next <> '0'").join(starters, F.col("next") == F.col("s"), "left").groupBy("word").agg(F.sum("n").alias("capitals"), F.sum(F.when(F.col("s").isNotNull(), F.col("n")).otherwise(0)).alias("starts"), F.sum(F.when(F.col("next").endswith("."), F.col("n")).when(F.col("s").isNull(), 1).otherwise(0)).alias("names"))
+    on = pairs.filter("next = '0'").select("word", F.col("n").alias("on"))
+    both = capital.join(on, "word", "full").fillna(0, ["capitals", "starts", "names", "on"])
+    few = F.col("starts") < STARTER_SHARE * F.col("capitals")
+    never = (F.col("names") >= ALONE) & few | (F.col("on") >= LEAST) & ((F.col("capitals") == 0) | few)
+    abbreviation = (F.col("on") >= LEAST) & (F.col("on") >= GOES_ON_SHARE * (F.col("on") + F.col("capitals")))
+    kinds = both.select("word", F.when(never, "never").when(abbreviation, "abbreviation").alias("kind")).filter("kind IS NOT NULL")
+    # of the starters only those matter that stand behind a period somewhere
+    used = starters.join(pairs.select(F.col("next").alias("s")).distinct(), "s").select(F.col("s").alias("word"), F.lit("starter").alias("kind"))
+    return kinds.unionByName(used)
+
+
+def corpus_of(rows: Iterable[tuple[str, str]]) -> Corpus:
+    by: dict[str, set[str]] = {"never": set(), "abbreviation": set(), "starter": set()}
+    for word, kind in rows:
+        by[kind].add(word)
+    return Corpus(*(frozenset(by[k]) for k in ("never", "abbreviation", "starter")))
+
+
+def _words_in(text: str | None) -> list[str]:
+    """The words of a text that evidence may be asked for, as written, capitalised and in lower case."""
+    out: set[str] = set()
+    for w in re.findall(r"[^\W\d_](?:\.?[^\W\d_])*", text or ""):
+        if len(w) < 25:
+            out |= {w, w.lower(), w.capitalize()}
+    return sorted(out)
+
+
+def _with_own_evidence(base: DataFrame, words: DataFrame) -> DataFrame:
+    """doc_id, text, evidence (array of word, kind): the evidence on the words of each document, by a join on the word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([_words_in(t) for t in b.column(1).to_pylist()], pa.list_(pa.string()))], names=["doc_id", "text", "words"])
+
+    held = base.mapInArrow(run, "doc_id long, text string, words array<string>").withColumn("__row", F.xxhash64("doc_id", "text"))
+    met = held.select("__row", F.explode("words").alias("word")).distinct().join(words, "word").groupBy("__row").agg(F.collect_list(F.struct("word", "kind")).alias("evidence"))
+    return held.drop("words").join(met, "__row", "left").select("doc_id", "text", "evidence")
+
+
+def sentences(documents: DataFrame, with_text: bool = True, most_words: int = MOST_WORDS) -> DataFrame:
     """doc_id, sent_no, sent_begin, sent_end and, if wanted, sentence: the units of every document in order."""
     base = documents.select("doc_id", "text")
-    sent = documents.sparkSession.sparkContext.broadcast(corpus_evidence(base))
+    words = checkpoint(evidence(base))
+    small = words.count() <= most_words
+    sent = documents.sparkSession.sparkContext.broadcast(corpus_of((r.word, r.kind) for r in words.collect())) if small else None
     schema = "doc_id long, sent_no int, sent_begin int, sent_end int" + ", sentence string" * with_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        corpus = sent.value
         for b in batches:
             ids, nos, begins, ends, texts = [], [], [], [], []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = b.column(2).to_pylist() if sent is None else None
+            for k, (doc_id, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                corpus = sent.value if own is None else corpus_of((e["word"], e["kind"]) for e in own[k] or ())
                 units = split(text, corpus)
                 ids += [doc_id] * len(units)
                 nos += range(len(units))
@@ -373,7 +442,7 @@ def sentences(documents: DataFrame, with_text: bool = True) -> DataFrame:
             arrays = [pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())] + [pa.array(texts, pa.string())] * with_text
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "sent_no", "sent_begin", "sent_end"] + ["sentence"] * with_text)
 
-    return spread(base).mapInArrow(run, schema)
+    return (spread(base) if small else _with_own_evidence(base, words)).mapInArrow(run, schema)
 
 
 def found(documents: DataFrame) -> DataFrame:
