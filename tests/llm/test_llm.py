@@ -116,7 +116,7 @@ def test_leaks_equal_brute_force(spark):
 )
 def test_sentences_of_a_line(units):
     text = " ".join(units)
-    corpus = sentences.Corpus(frozenset(["Sat"]), frozenset(["he", "the", "why"]))
+    corpus = sentences.Corpus(frozenset("Dr Oct Sat vs No med M Sr z Le".split()), frozenset(["p.m", "etc", "h"]), frozenset(["He", "The", "Why", "Two"]))
     assert [text[a:b] for a, b in sentences.split(text, corpus)] == units
 
 
@@ -144,6 +144,24 @@ def test_units_are_trimmed_ordered_and_whole(text):
     assert all(c.isspace() or i in inside for i, c in enumerate(text))
 
 
+def test_what_each_evidence_decides(spark):
+    """The corpus tells abbreviations from words that end sentences, the document settles what the corpus doesn't know; no list is there to ask."""
+    names = "Kandel Morow Tirren Sallow Quint Barden Olsker Fenwick Hollis Trask".split()
+    corpus = [(i, f"Seen by Dr. {n} at 4 p.m. on call. Was it late? The ward was full. He slept at 9 p.m. The end! He rose. Since approx. {i} days. Went home at 5 p.m. He left.") for i, n in enumerate(names * 3)]
+    own = [(900, "The zorp. of water is low, but zorp. Kandel was seen. It rained."), (901, "Brought by the zorp. Kandel fell.")]
+    df = spark.createDataFrame(corpus + own, "doc_id long, text string")
+    said = {r.word: r.kind for r in sentences.evidence(df).collect()}
+    assert said["Dr"] == "never" and said["approx"] == "never" and said["p.m"] == "abbreviation" and said["the"] == said["he"] == "starter" and "full" not in said
+    want = {0: 9, 900: 2, 901: 2}
+    for most in (sentences.MOST_WORDS, 0):  # sent to the tasks, and joined
+        got = {r.doc_id: r["count"] for r in sentences.sentences(df, most_words=most).groupBy("doc_id").count().collect()}
+        assert {k: got[k] for k in want} == want
+    text = corpus[0][1]
+    assert len(sentences.split(text)) > 9  # without the corpus
+    ruled = sentences.Corpus(starters=frozenset(["the"]))
+    assert len(sentences.split(own[0][1], ruled)) == 2 and len(sentences.split(own[1][1], ruled)) == 2
+
+
 def test_sentences_frame(spark):
     df = spark.createDataFrame([(1, "Ab cd. Ef gh."), (2, None), (3, ""), (4, " \n"), (5, "x" * 50_000)], "doc_id long, text string").withColumn("sentence", F.lit("clash"))
     rows = sentences.sentences(df).orderBy("doc_id", "sent_no").collect()
@@ -154,15 +172,49 @@ def test_sentences_frame(spark):
 # ---- personal information
 
 
-def test_held_out_accuracy():
+#: Carriers of another hand than those of the training grammar.
+OTHER_RULES = """
+holding: The {any}-{any} visit went well for Mr. {family} and his son {given} | Could you forward this to {name}, who waits at {address}, before Monday? | She left her number, {phone}, with the porter | Kindly use {email} from now on, wrote Mrs {family} | According to the card, MRN {chart}, she was born on {dob} | File under SSN: {ssn} for {comma} | Dr. {name} thinks that Ms. {family} may go home | We tried {phone} and {phone} without luck | Her brother {given} picked her up; he lives at {address} | Policy {policy} covers the {test} of Mr. {name} | Our records show DOB: {dob}, nothing else | Please ask Nurse {family} to mail {email}
+plain: The {test} was repeated without any change | He felt {sym} while climbing {n2} steps | Order {x8} is still open | {Drug} {dose} seems to help | BP {n3}/{n2} after the walk | Nobody saw the {eponym} sign | They discussed {ill} at length
+"""
+
+
+def test_accuracy_on_a_grammar_of_another_hand():
+    """Not sampled from the grammar that trained the model: what it says of other texts."""
     from wardmill.llm.pii_corpus import Maker
 
-    maker = Maker(987_654_321)
-    made = [maker.text() for _ in range(600)]
-    got = pii_model.decode(pii_model.load(), [t for t, _ in made])
-    want = {(i, *s) for i, (_, spans) in enumerate(made) for s in spans}
-    have = {(i, *s) for i, spans in enumerate(got) for s in spans}
-    assert len(want & have) / len(want) > 0.97 and len(want & have) / len(have) > 0.97
+    for rules, least in ((None, 0.98), (OTHER_RULES.replace("The {any}-{any} visit", "The visit"), 0.9)):
+        maker = Maker(987_654_321, rules)
+        made = [maker.text() for _ in range(600)]
+        got = pii_model.decode(pii_model.load(), [t for t, _ in made])
+        want = {(i, *s) for i, (_, spans) in enumerate(made) for s in spans}
+        have = {(i, *s) for i, spans in enumerate(got) for s in spans}
+        print(len(want & have) / len(want), len(want & have) / len(have))
+        assert len(want & have) / len(want) > least and len(want & have) / len(have) > least
+
+
+def test_packed_lstm_equals_the_plain_one():
+    p, r = pii_model.load(), np.random.default_rng(5)
+    codes = [r.integers(1, pii_model.CHARS, n).astype(np.int16) for n in (40, 17, 17, 3, 1)]
+    e, _ = pii_model.emissions(p, codes)
+    H = p["Uf"].shape[0]
+    for j, c in enumerate(codes):
+        f = pii_model.lstm(c[:, None], p["E"] @ p["Wf"] + p["bf"], p["Uf"])[:, 0]
+        b = pii_model.lstm(np.concatenate([[0, 0], c[::-1]]).astype(np.int16)[:, None], p["E"] @ p["Wb"] + p["bb"], p["Ub"])[2:, 0][::-1]
+        want = f @ p["out"][:H] + b @ p["out"][H:] + p["bo"]
+        assert np.abs(e[: len(c), :, j] - want).max() < 1e-3 and (e[len(c) :, 0, j] == 0).all()
+
+
+def test_viterbi_equals_all_paths():
+    import itertools
+
+    p, r = pii_model.load(), np.random.default_rng(6)
+    T = np.where(pii_model.allowed(), p["T"], -1e9)
+    e = r.normal(0, 3, (4, pii_model.K, 6)).astype(np.float32)
+    tags = pii_model.viterbi(p, e)
+    for j in range(6):
+        best = max((sum(e[t, x, j] for t, x in enumerate(path)) + sum(T[a, b] for a, b in zip(path, path[1:])) + (-1e9 if path[0] and path[0] % 2 == 0 else 0), path) for path in itertools.product(range(pii_model.K), repeat=4))[1]
+        assert tuple(tags[:, j]) == best
 
 
 def test_long_text_equals_windows():

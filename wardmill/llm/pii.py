@@ -3,12 +3,16 @@
 The model (``pii_model``) marks e-mail addresses, phone numbers, identity numbers, postal addresses,
 names, stated birth dates and other full dates. Exact checks follow: edges lose white space and stray
 punctuation, an address keeps the dot of a closing abbreviation, and a full date that isn't stated as a
-birth date counts only if it equals a birth date known for the same request id. Those known dates are
-reduced to distinct (tid, date) pairs before the join, so a request id that holds a tenth of the rows
-meets each of its dates once; only candidate dates are shuffled, never texts.
+birth date counts only if it equals a birth date known for the same request id.
+
+Texts are read where they lie; repeated deliveries of a section are dropped behind the model, so that only
+spans are shuffled for it (and, for the redacted texts, each text once). The known birth dates are reduced
+to distinct (tid, date) pairs before the join, so a request id that holds a tenth of the rows meets each of
+its dates once. Spans that need no match get a join key of their own each, so that they spread evenly.
 
 Defined cases: null and empty texts have no spans and come out as they are; rows that share a section id
-are one record; offsets are code points; spans don't overlap.
+are one record, the first received one; offsets are code points; spans don't overlap; a null request id
+knows no birth dates.
 """
 
 from __future__ import annotations
@@ -20,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardmill.frames import first_per_key
+from wardmill.frames import first_per_key, spread
 from wardmill.llm import pii_model
+from wardmill.session import checkpoint
 
 KINDS = ("email", "phone", "id", "address", "name", "dob")
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
@@ -73,22 +78,28 @@ def tidy(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, s
     return out
 
 
-def detect(sections: DataFrame) -> DataFrame:
-    """section_id, tid, text, spans (array of begin, end, kind, day): once per section id. ``day`` is the date of a dob or date span."""
-    one = first_per_key(sections.select("section_id", "tid", "text", "received_at"), "section_id", [F.col("received_at")]).drop("received_at")
+_SPANS = "array<struct<begin:int,end:int,kind:string,day:string>>"
+
+
+def detect(sections: DataFrame, with_text: bool = False) -> DataFrame:
+    """section_id, tid[, text], spans (array of begin, end, kind, day): once per section id. ``day`` is the date of a dob or date span."""
+    base = sections.select("section_id", "tid", "received_at", "text")
+    received = base.schema["received_at"].dataType.simpleString()
+    kind_of = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("day", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pii_model.load()
-        kind_of = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("day", pa.string())]))
         for b in batches:
-            texts = [t or "" for t in b.column(2).to_pylist()]
+            texts = [t or "" for t in b.column(3).to_pylist()]
             found = [
-                [{"begin": x, "end": y, "kind": k, "day": day_of(t[x:y]) if k in ("dob", "date") else None} for x, y, k in tidy(t, spans)]
+                [{"begin": x, "end": y, "kind": k, "day": day_of(t[x:y]) if k in ("dob", "date") else None} for x, y, k in tidy(t, spans)] if spans else []
                 for t, spans in zip(texts, pii_model.decode(model, texts))
             ]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind_of)], names=[*b.schema.names, "spans"])
+            kept = b.columns if with_text else b.columns[:3]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, kind_of)], names=[*b.schema.names[: len(kept)], "spans"])
 
-    return one.mapInArrow(run, "section_id long, tid string, text string, spans array<struct<begin:int,end:int,kind:string,day:string>>")
+    read = spread(base).mapInArrow(run, f"section_id long, tid string, received_at {received}{', text string' * with_text}, spans {_SPANS}")
+    return first_per_key(read, "section_id", [F.col("received_at")]).drop("received_at")
 
 
 def known_days(responses: DataFrame) -> DataFrame:
@@ -102,24 +113,41 @@ def known_days(responses: DataFrame) -> DataFrame:
     return raw.mapInArrow(run, "tid string, day string").filter("day IS NOT NULL").distinct()
 
 
+def _settled(found: DataFrame, responses: DataFrame, key: str) -> DataFrame:
+    """key, begin, end, kind: the spans of ``found`` (key, tid, spans) that count; a date that equals a known birth date is one."""
+    each = found.select(key, "tid", F.explode("spans").alias("s")).select(key, "tid", "s.*")
+    date = F.col("kind") == "date"
+    # a date is looked up by request id and day, any other span by a key that no other span has
+    lookup = F.when(date, F.concat(F.lit("="), F.col("tid"), F.lit("|"), F.col("day"))).otherwise(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.col("begin").cast("string")))
+    cases = each.select(key, "begin", "end", "kind", lookup.alias("__lookup")).filter("__lookup IS NOT NULL")
+    known = known_days(responses).select(F.concat(F.lit("="), F.col("tid"), F.lit("|"), F.col("day")).alias("__lookup"), F.lit(True).alias("__known"))
+    joined = cases.join(known, "__lookup", "left").filter("kind <> 'date' OR __known")
+    return joined.select(key, "begin", "end", F.when(F.col("kind") == "date", "dob").otherwise(F.col("kind")).alias("kind"))
+
+
 def spans(sections: DataFrame, responses: DataFrame) -> DataFrame:
     """section_id, span_begin, span_end, kind: the personal information of every section."""
-    each = detect(sections).select("section_id", "tid", F.explode("spans").alias("s")).select("section_id", "tid", "s.*")
-    # stated spans pass through; other dates need a match, found by one left join that both share
-    key = F.when(F.col("kind") == "date", F.col("tid")).alias("tid"), F.when(F.col("kind") == "date", F.col("day")).alias("day")
-    cases = each.select("section_id", "begin", "end", "kind", *key).filter("kind <> 'date' OR (tid IS NOT NULL AND day IS NOT NULL)")
-    joined = cases.join(known_days(responses).withColumn("known", F.lit(True)), ["tid", "day"], "left")
-    return joined.filter("kind <> 'date' OR known").select("section_id", F.col("begin").alias("span_begin"), F.col("end").alias("span_end"), F.when(F.col("kind") == "date", "dob").otherwise(F.col("kind")).alias("kind"))
+    return _settled(detect(sections), responses, "section_id").select("section_id", F.col("begin").alias("span_begin"), F.col("end").alias("span_end"), "kind")
 
 
 def redact(sections: DataFrame, responses: DataFrame) -> DataFrame:
-    """section_id, text (with placeholders such as [NAME]), n_spans: every section once."""
-    one = first_per_key(sections.select("section_id", "text", "received_at"), "section_id", [F.col("received_at")]).drop("received_at")
-    marks = spans(sections, responses).groupBy("section_id").agg(F.sort_array(F.collect_list(F.struct("span_begin", "span_end", "kind"))).alias("m"))
-    both = one.join(marks, one.section_id.eqNullSafe(marks.section_id), "left").select(one.section_id, "text", F.coalesce("m", F.array().cast("array<struct<span_begin:int,span_end:int,kind:string>>")).alias("m"))
+    """section_id, text (with placeholders such as [NAME]), n_spans: every section once.
+
+    Texts and spans come from one pass of the model and are checkpointed in the shared folder (a job of its
+    own). Only sections that hold a date not stated as a birth date meet the known birth dates.
+    """
+    one = F.concat_ws(":", F.coalesce(F.col("section_id").cast("string"), F.lit("-")), F.xxhash64("text").cast("string"))
+    found = checkpoint(detect(sections, with_text=True).withColumn("__row", one))
+    asks = F.exists("spans", lambda s: s["kind"] == "date")
+    dates = found.filter(asks)
+    born = _settled(dates.select("__row", "tid", F.filter("spans", lambda s: s["kind"] == "date").alias("spans")), responses, "__row").groupBy("__row").agg(F.collect_set("begin").alias("born"))
+    met = dates.join(born, "__row", "left").select("section_id", "text", F.filter("spans", lambda s: (s["kind"] != "date") | F.coalesce(F.array_contains("born", s["begin"]), F.lit(False))).alias("m"))
+    both = found.filter(~asks).select("section_id", "text", F.col("spans").alias("m")).unionByName(met)
     # the texts between the marks, then a placeholder for each mark; Spark's substring counts code points
-    parts = F.transform("m", lambda x, i: F.concat(F.expr("''"), F.substring(F.col("text"), F.when(i == 0, 1).otherwise(F.get("m", i - 1)["span_end"] + 1), x["span_begin"] - F.when(i == 0, 0).otherwise(F.get("m", i - 1)["span_end"])), F.lit("["), F.upper(x["kind"]), F.lit("]")))
-    tail = F.substring(F.col("text"), F.coalesce(F.get("m", F.size("m") - 1)["span_end"], F.lit(0)) + 1, F.lit(2**31 - 1))
+    before = lambda i: F.when(i == 0, 0).otherwise(F.get("m", i - 1)["end"])
+    label = lambda x: F.upper(F.when(x["kind"] == "date", "dob").otherwise(x["kind"]))
+    parts = F.transform("m", lambda x, i: F.concat(F.substring(F.col("text"), before(i) + 1, x["begin"] - before(i)), F.lit("["), label(x), F.lit("]")))
+    tail = F.substring(F.col("text"), F.coalesce(F.get("m", F.size("m") - 1)["end"], F.lit(0)) + 1, F.lit(2**31 - 1))
     return both.select("section_id", F.when(F.size("m") == 0, F.col("text")).otherwise(F.concat(F.array_join(parts, ""), tail)).alias("text"), F.size("m").alias("n_spans"))
 
 

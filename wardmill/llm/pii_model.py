@@ -31,8 +31,14 @@ _TABLE = np.array([_code(chr(i)) for i in range(0x3000)], np.int16)
 
 
 def encode(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(points < 0x3000, _TABLE[np.minimum(points, 0x2FFF)], 1 + len(_KNOWN) + 2).astype(np.int16)
+    return encode_all([text])[0]
+
+
+def encode_all(texts: list[str]) -> list[np.ndarray]:
+    """Codes of many texts, read as one."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = np.where(points < 0x3000, _TABLE[np.minimum(points, 0x2FFF)], 1 + len(_KNOWN) + 2).astype(np.int16)
+    return np.split(codes, np.cumsum([len(t) for t in texts])[:-1]) if texts else []
 
 
 def allowed() -> np.ndarray:
@@ -44,7 +50,7 @@ def allowed() -> np.ndarray:
     return ok
 
 
-def init(embed: int = 24, hidden: int = 56, seed: int = 1) -> dict[str, np.ndarray]:
+def init(embed: int = 24, hidden: int = 40, seed: int = 1) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     f = lambda *s: (r.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
     p = {"E": f(CHARS, embed) * np.float32(3), "out": f(2 * hidden, K), "bo": np.zeros(K, np.float32), "T": np.zeros((K, K), np.float32)}
@@ -106,40 +112,64 @@ def back(x, table_grad, U, saved, dhs):
     return dU
 
 
-def fast_lstm(x: np.ndarray, table: np.ndarray, U: np.ndarray) -> np.ndarray:
-    """The hidden states of ``lstm`` as (time, unit, sequence), with one tanh a step: a sigmoid is a tanh of half its argument."""
+def fast_lstm(x: np.ndarray, live: np.ndarray, table: np.ndarray, U: np.ndarray) -> np.ndarray:
+    """The hidden states of ``lstm`` as (time, sequence, unit); x: codes, time first.
+
+    The sequences come longest first, and only the first ``live[t]`` of them have a character at step t, so
+    none is padded. A sigmoid is a tanh of half its argument: one tanh a step does for all gates.
+    """
     L, B = x.shape
     H = U.shape[0]
     half = np.repeat(np.float32([0.5, 0.5, 0.5, 1]), H)
-    table, U = np.ascontiguousarray((table * half).T), np.ascontiguousarray((U * half).T)
-    h, c = np.zeros((H, B), np.float32), np.zeros((H, B), np.float32)
-    hs, z, m = np.empty((L, H, B), np.float32), np.empty((4 * H, B), np.float32), np.empty((4 * H, B), np.float32)
-    i, f, o, g = (z[k * H : (k + 1) * H] for k in range(4))
-    gates = z[: 3 * H]
+    table, U = table * half, U * half
+    hs, c = np.zeros((L, B, H), np.float32), np.zeros((B, H), np.float32)
+    m = np.empty((B, 4 * H), np.float32)
+    h = np.zeros((B, H), np.float32)
     for t in range(L):
-        np.take(table, x[t], axis=1, out=z, mode="clip")
-        np.matmul(U, h, out=m)
-        z += m
+        n = live[t]
+        z = table.take(x[t, :n], axis=0, mode="clip")
+        z += np.matmul(h[:n], U, out=m[:n])
         np.tanh(z, out=z)
-        gates += 1
-        c *= f
+        z[:, : 3 * H] += 1
+        i, f, o, g = (z[:, k * H : (k + 1) * H] for k in range(4))
+        now = c[:n]
+        now *= f
         i *= g
-        c += i
-        c *= np.float32(0.5)
+        now += i
+        now *= np.float32(0.5)
         h = hs[t]
-        np.tanh(c, out=h)
-        h *= o
-        h *= np.float32(0.5)
+        np.tanh(now, out=h[:n])
+        o *= np.float32(0.5)
+        h[:n] *= o
     return hs
 
 
-def emissions(p: dict, x: np.ndarray) -> np.ndarray:
-    """Scores (time, tag, sequence); x: codes, time first."""
-    H = p["Uf"].shape[0]
-    out = np.matmul(p["out"][:H].T, fast_lstm(x, p["E"] @ p["Wf"] + p["bf"], p["Uf"]))
-    out += np.matmul(p["out"][H:].T, fast_lstm(x[::-1], p["E"] @ p["Wb"] + p["bb"], p["Ub"])[::-1])
-    out += p["bo"][:, None]
-    return out
+def emissions(p: dict, codes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Scores (time, tag, sequence) of sequences given longest first, and how many have a character at each time.
+
+    Both directions begin at their own end of a sequence, the backward one behind two characters of
+    padding. Behind its end a sequence scores as certainly outside.
+    """
+    size = np.array([len(c) for c in codes])
+    L, B, H = int(size[0]), len(codes), p["Uf"].shape[0]
+    x, y = np.zeros((L, B), np.int16), np.zeros((L + 2, B), np.int16)
+    for j, c in enumerate(codes):
+        x[: len(c), j] = c
+        y[2 : len(c) + 2, j] = c[::-1]
+    live = B - np.searchsorted(size[::-1], np.arange(L), side="right")
+    forth = fast_lstm(x, live, p["E"] @ p["Wf"] + p["bf"], p["Uf"])
+    back = fast_lstm(y, np.concatenate([[B, B], live]), p["E"] @ p["Wb"] + p["bb"], p["Ub"])
+    # the backward state of the character at t stands at len + 1 - t
+    at = np.maximum(size + 1 - np.arange(L)[:, None], 0)
+    back = back[at, np.arange(B)]
+    e = np.matmul(forth.reshape(L * B, H), p["out"][:H])
+    e += np.matmul(back.reshape(L * B, H), p["out"][H:])
+    e += p["bo"]
+    e = np.ascontiguousarray(e.reshape(L, B, K).transpose(0, 2, 1))
+    for t in range(int(size[-1]), L):
+        e[t, 0, live[t] :] = 0
+        e[t, 1:, live[t] :] = -1e6
+    return e, live
 
 
 def loss_and_gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
@@ -215,7 +245,7 @@ def _work(seed: int, pipe, batch: int) -> None:
         pipe.send(loss_and_gradient(p, x, y))
 
 
-def train(path: str = PATH, minutes: float = 5, workers: int = 8, batch: int = 64, rate: float = 4e-3, hidden: int = 56, most_steps: int = 20_000, start: dict | None = None, first_seed: int = 100) -> dict:
+def train(path: str = PATH, minutes: float = 5, workers: int = 8, batch: int = 64, rate: float = 4e-3, hidden: int = 40, most_steps: int = 20_000, start: dict | None = None, first_seed: int = 100) -> dict:
     """Fits on generated spans: at most most_steps x workers x batch texts. Gradients are taken in processes and averaged."""
     import multiprocessing as mp
     import time
@@ -269,64 +299,75 @@ def surely_outside(p: dict) -> float:
 def viterbi(p: dict, e: np.ndarray) -> np.ndarray:
     """Best tags (time, sequence) of sequences of one length; e: time, tag, sequence.
 
-    O and the B tags can follow any tag, an I tag only B or I of its kind. No back pointers are kept:
-    the way back asks again only for the tag that was reached.
+    O and the B tags can follow any tag, an I tag only B or I of its kind. No back pointers are kept: the
+    way back first asks whether O led to the tag that was reached, and only where it didn't for the others.
     """
     L, _, B = e.shape
     T = np.where(allowed(), p["T"], np.float32(-1e9)).astype(np.float32)
     free, begins, inner = np.array([0, *range(1, K, 2)]), np.arange(1, K, 2), np.arange(2, K, 2)
-    to_free = T[:, free][:, :, None]
+    to_free = np.ascontiguousarray(T[:, free])[:, :, None]
     from_begin, from_inner = T[begins, inner][:, None], T[inner, inner][:, None]
-    v = np.empty((L, K, B), np.float32)
+    v, best = np.empty((L, K, B), np.float32), np.empty((L, K, B), np.float32)
     v[0] = e[0]
     v[0, inner] = -1e9
+    sums, top = np.empty((K, len(free), B), np.float32), np.empty((len(free), B), np.float32)
     for t in range(1, L):
-        last, now = v[t - 1], v[t]
-        now[free] = (last[:, None, :] + to_free).max(axis=0)
+        last, now = v[t - 1], best[t]
+        np.add(last[:, None, :], to_free, out=sums)
+        np.maximum.reduce(sums, axis=0, out=top)
+        now[free] = top
         now[inner] = np.maximum(last[begins] + from_begin, last[inner] + from_inner)
-        now += e[t]
+        np.add(now, e[t], out=v[t])
     tags = np.empty((L, B), np.int8)
     tags[L - 1] = v[L - 1].argmax(axis=0)
+    every = np.arange(B)
     for t in range(L - 1, 0, -1):
-        tags[t - 1] = (v[t - 1] + T[:, tags[t]]).argmax(axis=0)
+        to = tags[t]
+        tags[t - 1] = 0
+        other = np.flatnonzero(v[t - 1, 0] + T[0, to] != best[t, to, every])
+        if len(other):
+            tags[t - 1, other] = (v[t - 1][:, other] + T[:, to[other]]).argmax(axis=0)
     return tags
 
 
-def spans_of(tags: np.ndarray) -> list[tuple[int, int, str]]:
-    out = []
-    begins = np.flatnonzero(tags % 2 == 1)
-    for b in begins:
-        k, e = int(tags[b]), int(b) + 1
-        while e < len(tags) and tags[e] == k + 1:
-            e += 1
-        out.append((int(b), e, KINDS[(k - 1) // 2]))
+def spans_of(tags: np.ndarray) -> list[list[tuple[int, int, str]]]:
+    """The spans of each sequence from its tags (time, sequence)."""
+    L, B = tags.shape
+    out: list[list[tuple[int, int, str]]] = [[] for _ in range(B)]
+    goes_on = (tags > 0) & (tags % 2 == 0)
+    stops = np.where(goes_on, L, np.arange(L)[:, None])
+    following = np.full((L + 1, B), L)
+    following[:L] = np.minimum.accumulate(stops[::-1], axis=0)[::-1]  # the next place that doesn't go on
+    t, j = np.nonzero(tags % 2 == 1)
+    for b, k, e, s in zip(t.tolist(), tags[t, j].tolist(), following[t + 1, j].tolist(), j.tolist()):
+        out[s].append((b, e, KINDS[(k - 1) // 2]))
     return out
 
 
+#: Characters of text that are scored in one go.
+BLOCK_CHARS = 32_000
+
+
 def decode(p: dict, texts: list[str]) -> list[list[tuple[int, int, str]]]:
     """Spans of each text. Texts longer than a window are scored in overlapping windows; the scores are
-    blended with weights that fall toward the windows' edges, and one Viterbi pass reads the whole text."""
-    codes = [encode(t) for t in texts]
+    blended with weights that fall toward the windows' edges, and one Viterbi pass reads the whole text.
+    Short texts are read in blocks of like lengths and of about ``BLOCK_CHARS`` characters."""
+    codes = encode_all(texts)
     out: list[list] = [[] for _ in texts]
-    short: dict[int, list[int]] = {}
-    for i, c in enumerate(codes):
-        if 0 < len(c) <= WINDOW:
-            short.setdefault(-(-(len(c) + 2) // 8) * 8, []).append(i)
-        elif len(c):
-            out[i] = _long(p, c)
-    for length, members in short.items():
-        for at in range(0, len(members), 384):
-            part = members[at : at + 384]
-            x = np.zeros((length, len(part)), np.int16)
-            for j, i in enumerate(part):
-                x[: len(codes[i]), j] = codes[i]
-            e = emissions(p, x)
-            unsure = np.flatnonzero((e[:, 1:].max(axis=1) - e[:, 0]).max(axis=0) > -surely_outside(p))
-            if len(unsure):
-                tags = viterbi(p, np.ascontiguousarray(e[:, :, unsure]))
-                for j, u in enumerate(unsure):
-                    i = part[u]
-                    out[i] = spans_of(tags[: len(codes[i]), j])
+    size = np.array([len(c) for c in codes], np.int64)
+    for i in np.flatnonzero(size > WINDOW).tolist():
+        out[i] = _long(p, codes[i])
+    order = np.argsort(-size, kind="stable")
+    order = order[(size[order] > 0) & (size[order] <= WINDOW)]
+    at, outside = 0, -surely_outside(p)
+    while at < len(order):
+        part = order[at : at + max(64, BLOCK_CHARS // int(size[order[at]]))]
+        at += len(part)
+        e, _ = emissions(p, [codes[i] for i in part])
+        unsure = np.flatnonzero((e[:, 1:].max(axis=1) - e[:, 0]).max(axis=0) > outside)
+        if len(unsure):
+            for u, found in zip(unsure.tolist(), spans_of(viterbi(p, np.ascontiguousarray(e[:, :, unsure])))):
+                out[part[u]] = found
     return out
 
 
@@ -336,11 +377,8 @@ def _long(p: dict, code: np.ndarray) -> list[tuple[int, int, str]]:
     weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
     e, w = np.zeros((n, K), np.float32), np.zeros((n, 1), np.float32)
     for at in range(0, len(starts), 256):
-        part = starts[at : at + 256]
-        x = np.zeros((WINDOW, len(part)), np.int16)
-        for j, s in enumerate(part):
-            x[: len(code[s : s + WINDOW]), j] = code[s : s + WINDOW]
-        scores = emissions(p, x)
+        part = starts[at : at + 256]  # only the last window of a text is shorter than the others
+        scores, _ = emissions(p, [code[s : s + WINDOW] for s in part])
         for j, s in enumerate(part):
             m = min(WINDOW, n - s)
             ramp = weight.copy()
@@ -350,7 +388,7 @@ def _long(p: dict, code: np.ndarray) -> list[tuple[int, int, str]]:
                 ramp[WINDOW // 2 :] = WINDOW // 2
             e[s : s + m] += scores[:m, :, j] * ramp[:m, None]
             w[s : s + m] += ramp[:m, None]
-    return spans_of(viterbi(p, (e / w)[:, :, None])[:, 0])
+    return spans_of(viterbi(p, (e / w)[:, :, None]))[0]
 
 
 if __name__ == "__main__":
