@@ -52,7 +52,7 @@ def test_pivot_equals_recursion(record):
     got = []
     for i, (name, rows) in enumerate(zip(["section", "concept", "sab", "vocab"], tables)):
         for r in rows:
-            places = [r[p] for p in nested.POSITIONS[: i + 1]] + [-1] * (3 - i)
+            places = [r[p] for p in nested.positions(nested.CLINICAL_KEYS)[: i + 1]] + [-1] * (3 - i)
             v = r.get(nested.CLINICAL_KEYS[i].fields[0][0])
             got.append((name, *places, "" if v is None else v))
     assert sorted(got) == brute_nodes(record)
@@ -81,6 +81,38 @@ def test_shred_spellings_wraps_and_dirt(spark):
     assert empty.count() == 0
 
 
+def test_levels_of_any_depth_and_lists_one_wrapper_down(spark):
+    levels = tuple(nested.Level(x, x + "s", (("name", "name", "text"),)) for x in "abcde")
+    record = {"as": [{"name": "1", "bs": {"cs": 0, "name": "2"}}, {"wrap": {"deeper": {"bs": [None, {"name": "3", "cs": [{"ds": [{"es": [{"name": "deep"}]}]}]}]}}}]}
+    df = spark.createDataFrame([(1, json.dumps(record))], "k int, payload string")
+    out = nested.Shredded(nested.shred(df, "k", "payload", [F.lit(1)], levels), "k", levels)
+    assert [(r.a_pos, r.b_pos, r.c_pos, r.d_pos, r.e_pos, r["name"]) for r in out.table("e").collect()] == [(1, 1, 0, 0, 0, "deep")]
+    assert sorted((r.a_pos, r.b_pos, r["name"]) for r in out.table("b").collect()) == [(0, 0, "2"), (1, 1, "3")]
+    assert max(r.level for r in out.nodes().collect()) == "e"
+
+
+def test_one_level_equals_all_levels(spark):
+    payload = {"docId": "d", "age": 7, "content": [{"id": i, "umlsConcepts": [{"cui": f"C{i}", "sabConcepts": [{"codingScheme": "S"}]}]} for i in range(3)]}
+    df = spark.createDataFrame([(1, json.dumps(payload)), (1, json.dumps(payload)), (2, "{}")], "k int, payload string")
+    whole = nested.Shredded(nested.shred(df, "k", "payload", [F.lit(1)]), "k")
+    for name in ("section", "concept", "sab", "vocab"):
+        one = nested.Shredded(nested.shred(df, "k", "payload", [F.lit(1)], keep=(name,)), "k")
+        assert one.table(name).schema == whole.table(name).schema and sorted(map(str, one.table(name).collect())) == sorted(map(str, whole.table(name).collect()))
+    root = nested.Shredded(nested.shred(df, "k", "payload", [F.lit(1)], keep=("response",), root=nested.ROOT), "k")
+    assert [(r.k, r.doc_id, r.dob, r.age) for r in root.table("response").collect()] == [(1, "d", None, "7")]
+
+
+def test_groups_found_from_paths(spark):
+    rows = [(1, '{"x": {"y": 1}, "Items": [{"id": 1, "tags": ["a", "b"]}, {"id": 2, "sub": {"parts": [{"p": 3}]}}]}'), (2, '[{"q": null}]'), (3, None), (4, "{bad"), (1, '{"x": 9}')]
+    df = spark.createDataFrame(rows, "k int, payload string").withColumn("fields", F.lit("clash"))
+    found = {(r.ancestor, r.column): r.n for r in nested.ancestors(df, "payload").collect()}
+    assert found[("items[]", "id")] == 2 and found[("items[].tags[]", "")] == 2 and found[("items[].sub.parts[]", "p")] == 1 and found[("", "x.y")] == 1 and found[("[]", "q")] == 1
+    table = nested.group_table(df, "k", "payload", [F.length("payload").cast("int") * -1], "items[].sub.parts[]").collect()
+    assert [(r.k, r.ordinals, r.parent, r.fields) for r in table] == [(1, [1, 0], [1], {"p": "3"})]
+    assert sorted((r.ordinals, r.fields[""]) for r in nested.group_table(df, "k", "payload", [F.length("payload") * -1], "items[].tags[]").collect()) == [([0, 0], "a"), ([0, 1], "b")]
+    assert nested.group_table(df.limit(0), "k", "payload", [F.lit(1)], "x").count() == 0
+
+
 # ---- broken lines
 
 GOOD = "C0000001|T047|PT|1|SAB|a term|pref"
@@ -109,6 +141,43 @@ def test_file_resumes_at_anchor():
     text = '\n'.join([GOOD, 'C0000002|T047|PT|1|S|"never closed|p', GOOD.replace("1|T", "3|T"), 'C0000004|T047|PT|1|S|"two', 'lines"|p', "# end"])
     got = [(n, reason) for n, reason, _, _ in rejects.parse_file(text, rejects.TERMS)]
     assert got == [(1, ""), (2, "quoting"), (3, ""), (4, "")]
+    assert [f[5] for _, r, f, _ in rejects.parse_file(text, rejects.TERMS) if not r][-1] == "two\nlines"
+    broken = [at for _, r, _, at in rejects.parse_file(text, rejects.TERMS) if r]
+    assert text[broken[0] :].startswith('"never')
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["good", "two", "open", "# x", "", "bad"]), max_size=12))
+def test_every_record_behind_a_broken_quote_is_found(kinds):
+    lines, want = [], []
+    for i, k in enumerate(kinds):
+        head = f"C{i:07d}|T047|PT|1|S|"
+        if k == "two":
+            lines.append(head + '"a\r\nb | ""c"""|p')
+            want.append(("", 'a\r\nb | "c"'))
+        elif k == "open":
+            lines.append(head + '"open|p')
+            want.append(("quoting", None))
+        elif k == "bad":
+            lines.append("C1|T047|PT|1|S|x|p")
+            want.append(("bad_cui", None))
+        else:
+            lines.append(head + "plain|p" if k == "good" else k)
+            want += [("", "plain")] if k == "good" else []
+    # a line that isn't an anchor may only stand where no open quote would take it in
+    if any(a == "open" and b in ("bad", "# x", "") for a, b in zip(kinds, kinds[1:])):
+        return
+    got = [(r, f[5] if f else None) for _, r, f, _ in rejects.parse_file("\n".join(lines), rejects.TERMS)]
+    assert got == want
+
+
+def test_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "a.bsv").write_text('\n'.join([GOOD, 'C0000002|T047|PT|1|S|"never|p', 'C0000004|T047|PT|1|S|"two', 'lines"|p']))
+    (tmp_path / "b.bsv").write_text("")
+    rows = rejects.read_files(spark, str(tmp_path), rejects.TERMS).orderBy("line_no").collect()
+    assert [(r.line_no, r.reason, r.fields[5] if r.fields else None) for r in rows] == [(1, None, "a term"), (2, "quoting", None), (3, None, "two\nlines")]
+    long = "\n".join(['C0000001|T047|PT|1|S|"open|p'] * 20_000)
+    assert sum(r == "quoting" for _, r, _, _ in rejects.parse_file(long, rejects.TERMS)) == 20_000
 
 
 def test_rejected_once_and_accepted(spark):
@@ -143,7 +212,12 @@ def spans(machine, s):
 
 
 def test_machines():
-    assert [s for m in M.DATES for s in spans(m, "on October 15, 2002 and 10/15/94 x")] == ["October 15, 2002", "10/15/94"]
+    dates = lambda s: [s[x.begin : x.end] for x in M.date_spans(tokenize(s))]
+    assert dates("on October 15, 2002 and 10/15/94 x") == ["October 15, 2002", "10/15/94"] and dates("seen 10-15 now") == ["10-15"] and dates("in Oct. 2002 x") == ["Oct. 2002"]
+    units = lambda s: {(s[x.begin : x.end], x.value) for m in M.FREQUENCY_UNITS for x in m.run(tokenize(s))}
+    assert ("t . i . d .", "3.0") in units("take t . i . d . now then") and ("q . w . k .", "") in units("q . w . k . now then") and units("b . i . d . x y") >= {("b . i . d .", "2.0")}
+    assert spans(M.RANGE_STRENGTH[1], "give 2 . 5 - 3 tabs") == ["2 . 5 - 3"] and not M.RANGE_STRENGTH[0].run(tokenize("two - three x")) and M.RANGE_STRENGTH[0].meant().run(tokenize("two - three x"))
+    assert [m.value for m in M.SUBSECTIONS if m.meant().run(tokenize("past medications : x"))] == ["history"]
     assert spans(M.LAB_RANGE, "goal 250-300 now") == ["250-300"]
     assert spans(M.LAB_FRACTION, "one half or 1/2 x") == ["one half", "1/2"]
     assert spans(M.FORM, "a tablet or a pill x")[0] == "tablet"
@@ -175,14 +249,53 @@ def test_native_negation_equals_machines(spark):
 
 def test_drug_and_lab():
     s = "takes metformin 500 mg tablet orally twice daily now."
-    r = attributes.drug_attributes(tokenize(s), [(6, 15)])[0]
-    assert (r["strength"], r["unit"], r["form"], r["route"], r["frequency"]) == ("500", "mg", "tablet", "Enteral_Oral", "2.0")
-    assert attributes.link_labs("glucose 98 mg/dl", [(0, 7)]) == [{"begin": 0, "end": 7, "value": "98", "unit": "mg/dl"}]
-    assert attributes.drug_attributes([], [(0, 1)])[0]["strength"] is None
+    r = attributes.drug_attributes(s, tokenize(s), [(6, 15)])[0]
+    assert (r["strength"], r["unit"], r["form"], r["route"], r["frequency"], r["duration"]) == ("500", "mg", "tablet", "Enteral_Oral", "2.0", None)
+    got = attributes.link_labs("glucose 98 mg/dl", [(0, 7)])[0]
+    assert (got["begin"], got["end"], got["value"], got["unit"], got["unit_at"]) == (0, 7, "98", "mg/dl", (11, 16))
+    assert attributes.drug_attributes("", [], [(0, 1)])[0]["strength"] is None
+    bag = attributes.drug_bag(s, 0, attributes.drug_places(tokenize(s), [(6, 15)])[0])
+    assert bag["medStrengthNum"] == ["500", 16, 19] and bag["medFrequencyNumber"] == ["2.0", 37, 42] and bag["medStatusChange"] is None
     model = {"features": {"a": 0}, "states": ["N", "L"], "initial_weights": [0.0], "final_weights": [0, 0], "transitions": [[{"weights": [-5], "default_weight": 0}, {"weights": [5], "default_weight": -1}]] * 2}
     assert attributes.viterbi([{"a"}, set()], model) == [1, 0] and attributes.viterbi([], model) == []
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["LV_POINT_VALUE_1", "LV_POINT_TERM_1", "LV_PUNCTUATION_:", "LV_DISTANCE", "LV_CONJ_AND", "other"]), max_size=4), min_size=1, max_size=6))
+def test_crf_equals_all_sequences(features):
+    import itertools
+
+    model = resources.read_model(resources.LAB_CRF)
+
+    def score(states):
+        total, last = model["initial_weights"][0], 0
+        for f, s in zip(features, states):
+            t = model["transitions"][last][s]
+            total, last = total + t["default_weight"] + sum(t["weights"][model["features"][x]] for x in set(f) if x in model["features"]), s
+        return total + model["final_weights"][last]
+
+    best = max(itertools.product((0, 1), repeat=len(features)), key=score)
+    assert score(attributes.viterbi([set(f) for f in features], model)) == pytest.approx(score(best))
+
+
+def test_crf_links():
+    model = resources.read_model(resources.LAB_CRF)
+    text = "glucose 98 , sodium 140 and potassium 4.1 seen on 10/15/94"
+    got = attributes.link_labs(text, [(text.index(w), text.index(w) + len(w)) for w in ("glucose", "sodium", "potassium")], model)
+    assert [r["value"] for r in got] == ["98", "140", "140"]
+    assert attributes.link_labs("no mention 5", [], model) == [] and attributes.link_labs("glucose high", [(0, 7)], model)[0]["value"] is None
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.lists(st.floats(-2, 2), min_size=3, max_size=3), min_size=1, max_size=5), st.sampled_from(["linear", "poly", "rbf", "sigmoid", "regression"]))
+def test_svm_labels_equal_row_by_row(rows, kind):
+    import numpy as np
+
+    model = {"kernel": "linear" if kind == "regression" else kind, "gamma": 0.5, "coef0": 0.1, "degree": 2, "counts": [1, 2, 1], "vectors": [[1, 0, 0], [0, 1, 0], [0.5, 1, 1], [0, 0, 1]], "coefficients": [[0.3, -0.7, 0.2, -1], [1, 0.5, -0.2, 0.9]], "rho": [0.1, -0.2, 0.05]}
+    model |= {} if kind == "regression" else {"labels": [1, 2, 3]}
+    assert list(smoking.svm_labels(np.array(rows, float), model)) == pytest.approx([smoking.svm_predict(r, model) for r in rows])
+
+
 def test_lab_units_are_the_whole_list(spark):
     assert len(resources.LAB_UNITS) == 498
     for u in sorted(resources.LAB_UNITS):
@@ -210,23 +323,38 @@ def test_lookup_equals_brute_force(spark):
     import random
 
     r = random.Random(3)
-    words = ["left", "knee", "pain", "of", "the", "cough"]
-    docs = [(i, " ".join(r.choice(words) for _ in range(r.randint(0, 14)))) for i in range(60)] + [(99, None), (98, "")]
-    terms = [(f"c{i}", " ".join(r.choice(words) for _ in range(r.randint(1, 3)))) for i in range(25)] + [("z", ""), ("y", None)]
-    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("cui", F.lit("clash"))
+    words = ["left", "knee", "pain", "of", "the", "cough", "боль", "früh"]
+    docs = [(i, " ".join(r.choice([*words, "stop.", "end.\n"]) for _ in range(r.randint(0, 14)))) for i in range(60)] + [(99, None), (98, "")]
+    terms = [(f"c{i}", " ".join(r.choice(words) for _ in range(r.randint(1, 3)))) for i in range(25)] + [("z", ""), ("y", None), ("x", "knee"), ("w", "knee")]
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("term", F.lit("clash"))
     t = spark.createDataFrame(terms, "cui string, str string")
-    got = sorted((x.doc_id, x.cui, x.begin, x.end) for x in lookup.hits(d, t).collect())
-    want = sorted({(i, c, k, k + len(q)) for i, s in docs if s for c, z in terms if z for q in [z.split()] for k in range(len(s.split()) - len(q) + 1) if s.split()[k : k + len(q)] == q})
-    assert got == want
+    want = set()
+    for i, s in docs:
+        sentences = [x.replace(".", "").split() for x in (s or "").replace("\n", " ").split(". ")]
+        for k, w in enumerate(x for x in sentences if x):
+            want |= {(i, k, z, a, a + len(q)) for _, z in terms if z for q in [z.split()] for a in range(len(w) - len(q) + 1) if w[a : a + len(q)] == q}
+    got = [(x.doc_id, x.sent_no, x.term, x.begin, x.end) for x in lookup.spans(d, t).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    members = {(x.cui, x.term) for x in lookup.membership(t, lookup.plain_tokens(F.col("str")), ["cui"]).collect()}
+    assert members == {(c, z) for c, z in terms if z}
 
 
 def test_lookup_finds_terms_of_any_length(spark):
     words = [f"w{i}" for i in range(60)]
     d = spark.createDataFrame([(1, "x " + " ".join(words)), (2, " ".join(words[3:20]) + " end")], "doc_id long, text string")
     t = spark.createDataFrame([("a", " ".join(words[3:13])), ("b", " ".join(words)), ("c", " ".join([*words[3:20], "end"])), ("d", "w7"), ("e", " ".join([*words[:40], "other"]))], "cui string, str string")
-    got = sorted((x.doc_id, x.cui, x.begin, x.end) for x in lookup.hits(d, t).collect())
+    name = dict(zip((x.str for x in t.collect()), "abcde"))
+    got = sorted((x.doc_id, name[x.term], x.begin, x.end) for x in lookup.spans(d, t).collect())
     assert got == [(1, "a", 4, 14), (1, "b", 1, 61), (1, "d", 8, 9), (2, "a", 0, 10), (2, "c", 0, 18), (2, "d", 4, 5)]
-    assert lookup.hits(d, t.limit(0)).count() == 0
+    assert lookup.spans(d, t.limit(0)).count() == 0
+
+
+def test_lookup_by_lemma(spark):
+    s = spark.createDataFrame([(1, 0, ["both", "knees", "ache"], ["both", "knee", None], [True, True, True]), (2, 0, ["knees"], ["knee"], [False]), (3, 0, [], [], [])], "k int, sent_no int, w array<string>, l array<string>, ok array<boolean>")
+    t = spark.createDataFrame([("a", "knee"), ("b", "knee ache"), ("c", "knees"), ("d", "knees ache")], "cui string, str string")
+    index = lookup.term_classes(t, lookup.plain_tokens(F.col("str")))
+    found = lookup.matches(lookup.anchors(s, ["k", "sent_no"], F.col("w"), lookup.reach_of(t, lookup.plain_tokens(F.col("str"))), F.col("l"), F.col("ok")), index, ["k", "sent_no"])
+    assert sorted((r.k, r.term, r.begin, r.end) for r in found.collect()) == [(1, "knee", 1, 2), (1, "knee ache", 1, 3), (1, "knees", 1, 2), (1, "knees ache", 1, 3)]
 
 
 def test_longest_equals_anti_join(spark):
@@ -252,8 +380,88 @@ def test_decisions(spark, status, canceled, stop, failed, attempts, want):
 
 
 def test_partial_documents(spark):
-    df = spark.createDataFrame([('{"a":"1","z":"kept"}', '{"a":"2"}')], "raw string, new string")
-    assert json.loads(df.select(tasks.updated(F.col("raw"), F.col("new"))).first()[0]) == {"a": "2", "z": "kept"}
+    rows = [('{"a":1,"z":{"y":[true,null]}}', '{"a":2.5,"n":"x"}'), ("{}", '{"a":null}')]
+    df = spark.createDataFrame(rows, "raw string, new string")
+    got = [json.loads(r[0]) for r in df.select(tasks.updated(F.col("raw"), F.col("new"))).collect()]
+    assert got == [{"a": 2.5, "z": {"y": [True, None]}, "n": "x"}, {"a": None}]
+
+
+SCENARIOS = [
+    # chunk status, attempts, job there, canceled, stops on failure, document there, document failed, annotation fails, redelivered -> status, action
+    ("completed - success", 0, True, True, True, True, True, False, False, None, "ack"), ("completed - failure", 9, False, False, False, False, False, False, False, None, "ack"),
+    ("started", 0, True, True, False, True, False, False, False, "canceled", "ack"), ("started", 9, True, True, True, False, False, False, False, "canceled", "ack"),
+    ("started", 0, True, False, True, True, True, False, False, "canceled", "ack"), ("started", 3, True, False, True, True, True, False, False, "canceled", "ack"),
+    ("started", 3, True, False, False, True, False, False, False, "completed - failure", "ack"), ("failed", 5, True, False, True, True, False, False, False, "completed - failure", "ack"),
+    ("started", 2, True, False, False, True, False, False, False, "completed - success", "ack"), ("submitted", None, True, False, False, False, False, False, True, "completed - success", "ack"),
+    ("failed", 1, True, False, True, True, False, True, False, "failed", "ack"), ("failed", 1, True, False, False, True, False, True, True, "failed", "ack"),
+    ("started", 0, False, False, False, True, False, False, False, None, "requeue"), ("started", 0, False, False, False, True, False, False, True, None, "drop"),
+    ("started", 0, True, False, True, False, False, False, False, None, "requeue"), ("started", 0, True, False, True, False, False, False, True, None, "drop"),
+    (None, 0, True, False, False, True, False, False, False, None, "requeue"), (None, 0, True, False, False, True, False, False, True, None, "drop"),
+]
+
+
+def test_worker_scenarios(spark):
+    from wardmill.streaming import process
+
+    n = range(len(SCENARIOS))
+    chunks = spark.createDataFrame([(i, i, i, s[0], s[1], None) for i, s in enumerate(SCENARIOS) if s[0]], "chunk_id int, document_id int, job_id int, status string, attempts int, error_messages array<string>")
+    jobs = spark.createDataFrame([(i, s[3], s[4]) for i, s in enumerate(SCENARIOS) if s[2]], "job_id int, user_canceled boolean, stop_documents_on_failure boolean")
+    documents = spark.createDataFrame([(i, s[6]) for i, s in enumerate(SCENARIOS) if s[5]], "document_id int, document_failed boolean")
+    messages = spark.createDataFrame([(i, i, SCENARIOS[i][8]) for i in n], "message_id int, chunk_id int, redelivered boolean")
+    fails = [i for i in n if SCENARIOS[i][7]]
+    annotate = lambda df: df.select("message_id", F.when(~F.col("message_id").isin(fails), "{}").alias("response"), F.when(F.col("message_id").isin(fails), "bad").alias("error"))
+    results, states, failed, deliveries = process(messages, (chunks, documents, jobs), annotate)
+    state = {r.chunk_id: r for r in states.collect()}
+    action = {r.message_id: r.action for r in deliveries.collect()}
+    assert [(state[i].status if i in state else None, action[i]) for i in n] == [s[9:] for s in SCENARIOS]
+    assert {r.document_id for r in failed.collect()} == {i for i in n if SCENARIOS[i][9] == "completed - failure"} and {r.message_id for r in results.collect()} == {i for i in n if SCENARIOS[i][9] == "completed - success"}
+    assert all(state[i].error_messages == ["bad"] for i in fails) and state[6].error_messages[0].startswith("Task has exceeded retries. (Attempts: 4, max retries: 3")
+
+
+def test_a_bad_note_harms_no_other(spark, monkeypatch):
+    from wardmill.operators import pipeline
+    from wardmill.plans.pipeline_queries import _configuration, _lines
+
+    notes = spark.createDataFrame([(1, "She has chest pain."), (2, None), (3, ""), (4, "\ud800 odd"[1:])], "k int, text string").withColumn("config", F.lit("clash"))
+    done = {r.k: r for r in pipeline.annotate_notes(notes, "k", _lines(spark), [_configuration("all", "polarity")]).collect()}
+    assert json.loads(done[1].response)["content"][0]["text"] == ["chest pain", 8, 18] and json.loads(done[2].response)["content"] == [] == json.loads(done[3].response)["content"]
+    broken = pipeline.Models(sentences={"weights": "none"})
+    rows = pipeline.with_sentences(notes, "k", "text", broken).collect()
+    assert {r.k: bool(r.error) for r in rows} == {1: True, 2: False, 3: False, 4: True}
+    with pytest.raises(ValueError):
+        pipeline.annotate_notes(notes, "k", None, [])
+
+
+def test_annotate_one_text(spark):
+    from wardmill.operators import pipeline
+    from wardmill.plans.pipeline_queries import _configuration, _lines
+
+    got = json.loads(pipeline.annotate(spark, "Denies chest pain.".encode(), _lines(spark), [_configuration("a", "polarity"), _configuration("s", kind="smoking_status")]))
+    assert got["a"]["docId"] == "test_api" and got["a"]["content"][0]["attributes"] == {"polarity": "negative"} and got["s"]["smokingStatus"] == "UNKNOWN"
+    with pytest.raises(ValueError):
+        pipeline.annotate(spark, b"\xff", _lines(spark), [_configuration("a")])
+
+
+def test_dictionaries(spark, tmp_path):
+    (tmp_path / "v.bsv").write_text("# head\nC1|a\nC2|b\nC3|last")
+    whole = sources.read_dictionary(spark, str(tmp_path), "v.bsv")
+    assert [r.line for r in whole.orderBy("line_no").collect()] == ["# head", "C1|a", "C2|b", "C3|last"]
+    assert [r.cui for r in sources.scheme_columns(sources.read_dictionary(spark, str(tmp_path), "v.bsv", True), "CUI|STR", ["line_no"]).orderBy("line_no").collect()] == ["c1", "c2"]
+    built = []
+    build = lambda lines: built.append(1) or lines.select("line")
+    for text, times in (("C1|a", 1), ("C1|a", 1), ("C1|b", 2)):
+        lines = spark.createDataFrame([(text,)], "line string")
+        assert [r.line for r in sources.cached_index(spark, lines, "CUI|STR", str(tmp_path / "cache"), build).collect()] == [text] and len(built) == times
+
+
+def test_no_local_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from wardmill.session import shared_folder
+
+    conf = SimpleNamespace(get=lambda k: None)
+    with pytest.raises(ValueError):
+        shared_folder(SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077")))
 
 
 def test_configurations(tmp_path):

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill.frames import first_per_key
@@ -92,7 +92,7 @@ def read_bare(s: str, i: int, end: int) -> tuple[str, int]:
     return s[i:j], j
 
 
-def read_quoted(s: str, i: int, end: int) -> tuple[str, int]:
+def read_quoted(s: str, i: int, end: int, behind: str = "|") -> tuple[str, int]:
     j, parts = i + 1, []
     while True:
         k = s.find('"', j, end)
@@ -103,7 +103,7 @@ def read_quoted(s: str, i: int, end: int) -> tuple[str, int]:
             parts.append('"')
             j = k + 2
             continue
-        if k + 1 != end and s[k + 1] != "|":
+        if k + 1 != end and s[k + 1] not in behind:
             raise Broken(k + 1, "text after the closing quote")
         return "".join(parts), k + 1
 
@@ -120,41 +120,93 @@ def judge(line: str | None, scheme: Scheme) -> tuple[str, list[str] | None, int]
         fields, begins = read_record(line, 0, len(line))
     except Broken as e:
         return "quoting", None, e.at
+    return graded(fields, begins, line, scheme)
+
+
+def graded(fields: list[str], begins: list[int], line: str, scheme: Scheme, begin: int = 0) -> tuple[str, list[str] | None, int]:
+    """(reason or '', fields, where it broke) of a record that is sound in its syntax. Line breaks in quoted fields are no bad characters."""
     if len(fields) != len(scheme.columns):
-        return "column_count", None, begins[min(len(begins), len(scheme.columns) + 1) - 1]
-    bad = scheme.test(fields, line)
-    return (bad[0], None, begins[min(bad[1], len(begins) - 1)]) if bad else ("", fields, 0)
+        return "column_count", None, begins[min(len(begins), len(scheme.columns) + 1) - 1] - begin
+    bad = scheme.test(fields, line.replace("\r\n", " ").replace("\n", " ") if "\n" in line else line)
+    return (bad[0], None, begins[min(bad[1], len(begins) - 1)] - begin) if bad else ("", fields, 0)
 
 
 def parse_file(text: str, scheme: Scheme) -> Iterator[tuple[int, str, list[str] | None, int]]:
     """(line number, reason or '', fields, offset of the error) of the records of a whole file.
 
-    A quoted field may hold line breaks here. If its quote is never closed, or closing it would swallow
-    a line that starts like a record, the record is broken and reading resumes at that line.
+    A quoted field may hold line breaks here, which stay as they are. The record must end before the next
+    line that starts like a record (the anchor): if a quote isn't closed by then, or text follows its close,
+    the record is broken and reading resumes at the next line. The next anchor is looked for once, so a file
+    is read in linear time as long as its records are short.
     """
-    n, i, size = 0, 0, len(text)
+    n, i, size, anchor = 0, 0, len(text), -1
     while i < size:
         n += 1
         end = text.find("\n", i)
         end = size if end < 0 else end
         took, got = 0, judge(text[i:end], scheme)
-        if got and got[0] == "quoting":
-            far, lines = end, 0
-            while far < size:  # the record may go on below
-                nxt = text.find("\n", far + 1)
-                nxt = size if nxt < 0 else nxt
-                if scheme.anchor.match(text, far + 1):
-                    break
-                lines, far = lines + 1, nxt
-                again = judge(text[i:far].replace("\n", " "), scheme)
-                if again and again[0] != "quoting":
-                    got, end, took = again, far, lines
-                    break
+        if got and got[0] == "quoting" and end < size:
+            if anchor <= i:
+                anchor = _next_anchor(text, end + 1, scheme)
+            try:
+                fields, begins, far = read_lines(text, i, anchor - 1)
+                got, took, end = graded(fields, begins, text[i:far], scheme, i), text.count("\n", i, far), far
+            except Broken:
+                pass
         if got:
             yield n, got[0], got[1], i + got[2]
         n, i = n + took, end + 1
 
 
+def _next_anchor(text: str, i: int, scheme: Scheme) -> int:
+    """The place of the next line, from ``i`` on, that starts like a record; behind the text if there is none."""
+    while i < len(text):
+        if scheme.anchor.match(text, i):
+            return i
+        j = text.find("\n", i)
+        if j < 0:
+            break
+        i = j + 1
+    return len(text) + 1
+
+
+def read_lines(s: str, i: int, end: int) -> tuple[list[str], list[int], int]:
+    """A record from i on that may cross lines inside quotes: fields, where they begin, and where it ends."""
+    fields, begins = [], []
+    while True:
+        begins.append(i)
+        if s.startswith('"', i, end):
+            value, i = read_quoted(s, i, end, "|\r\n")
+        else:
+            j = min((k for k in (s.find("|", i, end), s.find("\n", i, end)) if k >= 0), default=end)
+            value, i = s[i:j], j
+        fields.append(value)
+        if i >= end or s[i] != "|":
+            if fields[-1].endswith("\r"):
+                fields[-1] = fields[-1][:-1]
+            while i < end and s[i] == "\r":
+                i += 1
+            return fields, begins, i
+        i += 1
+
+
+def parse_files(df: DataFrame, path: str, text: str, scheme: Scheme) -> DataFrame:
+    """path, line_no, reason (null if sound), error_at, fields of the records of whole files, one file (or block of whole lines) a row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(k, *r) for k, content in enumerate(b.column(1).to_pylist()) for r in parse_file(content or "", scheme)]
+            at, no, reason, fields, where = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), pa.array(no, pa.int32()), pa.array([r or None for r in reason], pa.string()), pa.array([w if r else None for r, w in zip(reason, where)], pa.int32()), pa.array(fields, pa.list_(pa.string()))], names=[path, "line_no", "reason", "error_at", "fields"])
+
+    return df.select(path, text).mapInArrow(run, f"`{path}` {df.schema[path].dataType.simpleString()}, line_no int, reason string, error_at int, fields array<string>")
+
+
+def read_files(spark: SparkSession, path: str, scheme: Scheme) -> DataFrame:
+    """``parse_files`` of the files under a path; a file is read by one task."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file_path"), F.col("value").alias("content"))
+    return parse_files(files, "file_path", "content", scheme)
+
+
 def parse_lines(df: DataFrame, scheme: Scheme) -> DataFrame:
     """Each line that isn't skipped: line_id, file_path, line_no, line, fields (null if broken), reason (null if sound), error_at."""
     base = df.select("line_id", F.regexp_replace(F.regexp_replace("file_path", "/+", "/"), r"^\./", "").alias("file_path"), "line_no", "line", "loaded_at")
