@@ -98,6 +98,46 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.found(dd, ii.limit(0)).count() == 0 and leaks.found(dd.limit(0), ii).count() == 0
 
 
+def _stretch_distance(p, t):
+    """The least edit distance of p to any stretch of t, by dynamic programming."""
+    row = list(range(len(p) + 1))
+    best = row[-1]
+    for c in t:
+        new = [0]
+        for i, x in enumerate(p, 1):
+            new.append(min(row[i - 1] + (x != c), row[i] + 1, new[-1] + 1))
+        row, best = new, min(best, new[-1])
+    return best
+
+
+@pytest.mark.parametrize("budget", [1, 2])
+def test_near_passages_equal_brute_force(budget):
+    """Every window within the budget is found, with its least distance: edits by change, drop and insertion, at any place."""
+    r = random.Random(40 + budget)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(12, 26))), "en") for i in range(6)]
+    index, hit, near = leaks.Index(items, budget), 0, 0
+    for _ in range(150):
+        words = r.choice(items)[1].split()
+        at = r.randint(0, len(words) - 12)
+        part = words[at : at + r.randint(11, 14)]
+        for _ in range(r.randint(0, budget + 1)):
+            k = r.randrange(len(part))
+            kind = r.randint(0, 2)
+            part = part[:k] + (["zz"] if kind < 2 else []) + part[k + (kind != 1) :]
+        text = [r.choice(vocabulary) for _ in range(5)] + part + [r.choice(vocabulary) for _ in range(5)]
+        got = {k: d for k, (d, _, _) in index.hits(" ".join(text)).items()}
+        want = {}
+        for k, t, _ in items:
+            seq = t.split()
+            d = min((_stretch_distance(seq[s : s + 12], text) for s in range(len(seq) - 11)), default=99)
+            if d <= budget:
+                want[k] = d
+        assert got == want
+        hit, near = hit + len(want), near + sum(d > 0 for d in want.values())
+    assert hit > 80 and near > 30
+
+
 # ---- sentences
 
 
@@ -272,6 +312,23 @@ def test_mix(spark):
     assert mixture.mix(df.limit(0), w)[0].count() == 0
 
 
+def test_every_source_meets_its_plan(spark):
+    """One very long note among short ones, and lengths of a heavy tail: off by the shortest note or 0.1 % at most."""
+    r = random.Random(9)
+    rows = [(i, "long", "word " * int(r.lognormvariate(5, 1.5) + 1)) for i in range(300)] + [(1000 + i, "short", "word " * r.randint(1, 20)) for i in range(900)] + [(5000, "short", "word " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    w = spark.createDataFrame([("long", 0.37, 1), ("short", 0.63, 2)], "source string, target_share double, max_repeats int")
+    for fan in (mixture.FAN, 1):
+        mixture.FAN, held = fan, mixture.FAN
+        mixture.BLOCK_ROWS, rows_held = 100, mixture.BLOCK_ROWS
+        try:
+            shares = mixture.mix(df, w, 60_000)[1].collect()
+        finally:
+            mixture.FAN, mixture.BLOCK_ROWS = held, rows_held
+        assert all(abs(s.mixed_tokens - s.planned_tokens) <= max(0.001 * s.planned_tokens, 5) for s in shares), shares
+        assert all(s.most_copies <= s.max_repeats for s in shares)
+
+
 # ---- pieces
 
 

@@ -4,11 +4,13 @@ A passage leaks if a window of the item (12 consecutive words, or 20 consecutive
 languages written without spaces) stands in the document with at most ``budget`` edits. By the
 pigeonhole principle a window with ``budget`` edits that holds ``budget + 1`` whole pieces of the item
 has one of them unharmed: items are cut on a grid fine enough that every window does. All pieces are
-looked for at once with one automaton; each exact hit names the windows around it, and these are
-verified with Myers' bit-parallel distance over words (or characters).
+looked for at once with one automaton; each exact hit names the windows around it, and what comes out is
+verified with Myers' bit-parallel distance over words (or characters): the run of equal units around a hit
+first, as one window, then the others that lack no more units than the budget allows.
 
 The items are a stated query set: they are sent to the tasks in blocks of bounded size, one pass over
-the documents per block. The documents never leave their partitions.
+the documents per block (they are read for it while the frame is built); a process builds the index of a
+block once. The documents never leave their partitions.
 
 Defined cases: null and empty texts, on either side, and items shorter than a window give no rows;
 repeated items are compared once each and the least distance per (document, item) comes out; repeated
@@ -19,10 +21,13 @@ from __future__ import annotations
 
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,8 +137,8 @@ class Index:
             near = None
             for k, piece_at in places:
                 item_id, seq = self.items[mode][k]
-                known = out.get(item_id)
-                if known and known[0] == 0:
+                known = out.get(item_id, (budget + 1, 0, 0))[0]
+                if not known:
                     continue
                 left, right = 0, step  # the run of equal units around the piece
                 while left < min(piece_at, at) and units[at - left - 1] == seq[piece_at - left - 1]:
@@ -141,9 +146,11 @@ class Index:
                 while piece_at + right < len(seq) and at + right < len(units) and units[at + right] == seq[piece_at + right]:
                     right += 1
                 if left + right >= window:
-                    out[item_id] = (0, piece_at - left, at - left)
-                    continue
-                if known or not budget:
+                    d = myers(seq[piece_at - left : piece_at - left + window], units[at - left : at - left + window], 0)
+                    if not d:
+                        out[item_id] = (d, piece_at - left, at - left)
+                        continue
+                if known <= 1 or not budget:  # less than 1 needs a run
                     continue
                 if near is None:
                     near = set(units[max(0, at - window - budget) : at + step + window + budget])
@@ -151,13 +158,33 @@ class Index:
                 lacks = [u not in near for u in seq[first : piece_at + window]]
                 for s in range(first, min(piece_at, len(seq) - window) + 1):
                     d0 = at - piece_at + s
-                    if sum(lacks[s - first : s - first + window]) > budget or (k, s, d0) in seen:
+                    if sum(lacks[s - first : s - first + window]) >= known or (k, s, d0) in seen:
                         continue
                     seen.add((k, s, d0))
                     d = myers(seq[s : s + window], units[max(0, d0 - budget) : max(0, d0 + window + budget)], budget)
-                    if d <= budget:
+                    if d < known:
+                        known = d
                         out[item_id] = (d, s, max(d0, 0))
-                        break
+                        if d <= 1:
+                            break
+
+
+#: The index of the block that the process read last.
+_built: dict[tuple[int, int], Index] = {}
+
+
+class _Sent(NamedTuple):
+    """A block of items in the tasks, and a number of its own."""
+
+    number: int
+    items: Broadcast
+
+
+def _index(number: int, block: list[tuple[int, str, str | None]], budget: int) -> Index:
+    if (number, budget) not in _built:
+        _built.clear()
+        _built[number, budget] = Index(block, budget)
+    return _built[number, budget]
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str, str | None]]]:
@@ -181,10 +208,10 @@ def find_leaks(documents: DataFrame, items: DataFrame, budget: int = 1) -> DataF
     schema = "doc_id long, item_id long, distance int, item_at int, doc_at int"
     out = None
     for block in _blocks(items):
-        sent = spark.sparkContext.broadcast(block)
+        sent = _Sent(uuid.uuid4().int, spark.sparkContext.broadcast(block))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value, budget)
+            index = _index(sent.number, sent.items.value, budget)
             for b in batches:
                 rows: list[list] = [[], [], [], [], []]
                 for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):

@@ -4,12 +4,16 @@ A source gives ``share x total`` tokens as far as ``max_repeats`` copies of its
 short sources can't give is spread over the others in proportion to their shares. Within a source each
 record gets the same expected number of copies: its whole part for sure, the fraction as an inclusion
 probability. The cube method draws the sample: it moves the probabilities through the null space of the
-constraints (tokens and records of the source) until few stay fractional in a block; the rest of all
-blocks of a source is balanced once more, and the last dozen, the smallest records among them, is landed
-on the corner nearest to the token total. So each source meets its totals closely, at any size.
+constraints (tokens and records of the source) until few stay fractional in a block. Some records, a ladder
+of lengths that halve and the shortest ones, are held back from the flight, so that whatever it leaves can
+be evened out by some of them. The leftovers of up to ``FAN`` blocks are balanced together, those of up to
+``FAN`` such groups again, and so on; the last few dozen of a source are landed on the corner whose tokens
+are nearest to the total. A source is off its plan by less than its shortest records, at any size, as long
+as these leave room.
 
-A source of any size is spread over blocks of bounded size; only block leftovers (a dozen records each) and
-one row per source meet. Token counts are taken once and checkpointed in the shared folder.
+A source of any size is spread over blocks of bounded size; only the leftovers of ``FAN`` blocks (some dozens of
+records each) and one row per source meet in a task. Token counts and each step are checkpointed in the
+shared folder, and the sums of the few sources are collected, so jobs run while the frames are built.
 
 Defined cases: records of sources without a target share, and records without tokens, aren't drawn; a
 source without records gives nothing; repeated record ids are drawn as separate records; null or
@@ -18,6 +22,7 @@ negative shares and repeats count as 0.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 
@@ -34,8 +39,13 @@ from wardmill.session import checkpoint
 
 #: Records of a source that are balanced in one task.
 BLOCK_ROWS = 20_000
-#: Small records that the flight leaves to the landing.
-RESERVE = 10
+#: Records that the flight leaves to the landing: rungs of a ladder of lengths, and the shortest.
+RUNGS, SHORT = 8, 40
+RESERVE = RUNGS + SHORT
+#: The landing counts tokens in units that keep its sums below this.
+MOST_SUM = 2_000_000
+#: Blocks whose leftovers are balanced together.
+FAN = 1_000
 
 
 def token_counts(documents: DataFrame, tokenizer: str = tk.DEFAULT, folder: str = tk.FOLDER) -> DataFrame:
@@ -69,12 +79,28 @@ def allocate(have: dict[str, int], share: dict[str, float], repeats: dict[str, i
     return take
 
 
+def reserve(size: list[float], todo: list[int]) -> set[int]:
+    """The units held back: ``RUNGS``, each about half the size of the one before, from the largest down, and the ``SHORT`` smallest."""
+    order = sorted(todo, key=lambda i: (size[i], i))
+    kept = set(order[:SHORT])
+    rest = order[SHORT:]
+    sizes = [size[i] for i in rest]
+    rung = sizes[-1] if rest else 0.0
+    for _ in range(RUNGS):
+        k = bisect.bisect_left(sizes, rung)
+        near = next((rest[j] for j in (*range(k, min(k + RUNGS, len(rest))), *range(k - 1, max(k - RUNGS, -1), -1)) if rest[j] not in kept), None)
+        if near is not None:
+            kept.add(near)
+        rung /= 2
+    return kept
+
+
 def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Moves probabilities to 0 or 1 along null vectors of (x, 1) over three units at a time, keeping both totals."""
     p = p.tolist()
     size = (x / max(1.0, float(x.mean()))).tolist()
     todo = [i for i, v in enumerate(p) if 1e-9 < v < 1 - 1e-9]
-    kept = set(sorted(todo, key=lambda i: size[i])[:RESERVE])
+    kept = reserve(size, todo)
     todo = sorted((i for i in todo if i not in kept), key=lambda i: int(4 * math.log2(size[i] + 1e-9)))  # the largest meet first
     held = [todo.pop() for _ in range(min(3, len(todo)))]
     draws = rng.random(len(todo) + 8).tolist()
@@ -108,15 +134,26 @@ def flight(p: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> np.ndarray
 
 
 def land(p: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """The dozen probabilities that are left, to the corner nearest to the expected tokens and, with less weight, records."""
+    """The few probabilities that are left, to a corner whose tokens are nearest to the expected ones.
+
+    All sums that some corner reaches are found as the bits of a number, unit by unit; on the way back a unit
+    goes where its probability leans, if the sum can be reached so.
+    """
     open_ = np.flatnonzero((p > 1e-9) & (p < 1 - 1e-9))
-    if not len(open_):
-        return p.round()
-    corners = np.arange(1 << len(open_))[:, None] >> np.arange(len(open_)) & 1
-    tokens = np.abs(corners @ x[open_] - p[open_] @ x[open_])
-    records = np.abs(corners.sum(axis=1) - p[open_].sum())
     p = p.copy()
-    p[open_] = corners[np.argmin(tokens + records * max(1.0, float(np.median(x[open_]))) * 0.05)]
+    if len(open_):
+        unit = max(1, -(-int(x[open_].sum()) // MOST_SUM))
+        sizes = [max(1, round(v / unit)) for v in x[open_].tolist()]
+        reached = [1]
+        for v in sizes:
+            reached.append(reached[-1] | reached[-1] << v)
+        goal = round(float(p[open_] @ x[open_]) / unit)
+        at = next(s for d in range(sum(sizes) + 1) for s in (goal - d, goal + d) if s >= 0 and reached[-1] >> s & 1)
+        for k in range(len(sizes) - 1, -1, -1):
+            out, in_ = bool(reached[k] >> at & 1), at >= sizes[k] and bool(reached[k] >> at - sizes[k] & 1)
+            take = bool(in_ and (not out or p[open_[k]] > 0.5))
+            p[open_[k]] = float(take)
+            at -= sizes[k] if take else 0
     return p.round()
 
 
@@ -152,7 +189,7 @@ def mix(documents: DataFrame, weights: DataFrame, total_tokens: int | None = Non
             order = _seed(*key).permutation(len(pdf))
             pdf = pdf.iloc[order].reset_index(drop=True)
             pdf["part"] = flight(pdf["part"].to_numpy(), pdf["n_tokens"].to_numpy(float), _seed(*key, "flight"))
-            return pdf[["doc_id", "source", "n_tokens", "copies", "part"]]
+            return pdf.assign(block=key[1])[["doc_id", "source", "n_tokens", "copies", "part", "block"]]
 
         def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["doc_id", "n_tokens"], ignore_index=True)
@@ -160,10 +197,16 @@ def mix(documents: DataFrame, weights: DataFrame, total_tokens: int | None = Non
             pdf["part"] = land(flight(pdf["part"].to_numpy(), x, _seed(*key, "landing")), x)
             return pdf[["doc_id", "source", "n_tokens", "copies", "part"]]
 
-        flown = checkpoint(units.groupBy("source", "block").applyInPandas(fly, schema))
+        kept = "doc_id long, source string, n_tokens int, copies int, part double, block long"
         whole = (F.col("part") < 1e-9) | (F.col("part") > 1 - 1e-9)
-        rest = flown.filter(~whole).groupBy("source").applyInPandas(finish, schema)
-        drawn = flown.filter(whole).unionByName(rest).select("doc_id", "source", "n_tokens", (F.col("copies") + F.round("part").cast("int")).alias("copies")).filter("copies > 0")
+        flown = checkpoint(units.withColumn("block", F.col("block").cast("long")).groupBy("source", "block").applyInPandas(fly, kept))
+        settled, open_, most = flown.filter(whole), flown.filter(~whole), max(k for _, _, k in plan)
+        while most > max(FAN, 1):
+            most = -(-most // max(FAN, 2))
+            flown = checkpoint(open_.withColumn("block", F.floor(F.col("block") / max(FAN, 2))).groupBy("source", "block").applyInPandas(fly, kept))
+            settled, open_ = settled.unionByName(flown.filter(whole)), flown.filter(~whole)
+        rest = open_.groupBy("source").applyInPandas(finish, schema)
+        drawn = settled.drop("block").unionByName(rest).select("doc_id", "source", "n_tokens", (F.col("copies") + F.round("part").cast("int")).alias("copies")).filter("copies > 0")
     got = drawn.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("copies")).alias("mixed_tokens"), F.sum("copies").alias("mixed_records"), F.max("copies").alias("most_copies"))
     listed = spark.createDataFrame([(s, share[s], repeats[s], int(have.get(s, 0)), float(take[s])) for s in sorted(rows)], "source string, target_share double, max_repeats int, available_tokens long, planned_tokens double")
     joined = listed.join(got, "source", "left").fillna(0, ["mixed_tokens", "mixed_records", "most_copies"])
