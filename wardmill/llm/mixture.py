@@ -4,9 +4,9 @@ A source gives ``share x total`` tokens as far as ``max_repeats`` copies of its
 short sources can't give is spread over the others in proportion to their shares. Within a source each
 record gets the same expected number of copies: its whole part for sure, the fraction as an inclusion
 probability. The cube method draws the sample: it moves the probabilities through the null space of the
-constraints (tokens and records of the source) until few stay fractional in a block. Some records, a ladder
-of lengths that halve and the shortest ones, are held back from the flight, so that whatever it leaves can
-be evened out by some of them. The leftovers of up to ``FAN`` blocks are balanced together, those of up to
+constraints (tokens and records of the source) until few stay fractional in a block. The shortest records and a
+ladder of longer ones, none longer than all below it together, are held back from the flight, so that
+whatever it leaves can be evened out by some of them. The leftovers of up to ``FAN`` blocks are balanced together, those of up to
 ``FAN`` such groups again, and so on; the last few dozen of a source are landed on the corner whose tokens
 are nearest to the total. A source is off its plan by less than its shortest records, at any size, as long
 as these leave room.
@@ -40,7 +40,7 @@ from wardmill.session import checkpoint
 #: Records of a source that are balanced in one task.
 BLOCK_ROWS = 20_000
 #: Records that the flight leaves to the landing: rungs of a ladder of lengths, and the shortest.
-RUNGS, SHORT = 8, 40
+RUNGS, SHORT = 64, 40
 RESERVE = RUNGS + SHORT
 #: The landing counts tokens in units that keep its sums below this.
 MOST_SUM = 2_000_000
@@ -80,18 +80,15 @@ def allocate(have: dict[str, int], share: dict[str, float], repeats: dict[str, i
 
 
 def reserve(size: list[float], todo: list[int]) -> set[int]:
-    """The units held back: ``RUNGS``, each about half the size of the one before, from the largest down, and the ``SHORT`` smallest."""
+    """The units held back: the ``SHORT`` smallest, and up to ``RUNGS``, each no larger than all smaller ones held
+    together, so that their sums leave no gap, until together they are as large as the largest unit."""
     order = sorted(todo, key=lambda i: (size[i], i))
-    kept = set(order[:SHORT])
-    rest = order[SHORT:]
-    sizes = [size[i] for i in rest]
-    rung = sizes[-1] if rest else 0.0
-    for _ in range(RUNGS):
-        k = bisect.bisect_left(sizes, rung)
-        near = next((rest[j] for j in (*range(k, min(k + RUNGS, len(rest))), *range(k - 1, max(k - RUNGS, -1), -1)) if rest[j] not in kept), None)
-        if near is not None:
-            kept.add(near)
-        rung /= 2
+    kept, rest = set(order[:SHORT]), order[SHORT:]
+    sizes, cover = [size[i] for i in rest], sum(size[i] for i in order[:SHORT])
+    largest = size[order[-1]] if order else 0.0
+    while cover < largest and len(kept) < RESERVE and (k := bisect.bisect_right(sizes, cover) - 1) >= 0:
+        kept.add(rest.pop(k))
+        cover += sizes.pop(k)
     return kept
 
 
