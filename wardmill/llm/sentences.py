@@ -346,7 +346,7 @@ def split(text: str | None, corpus: Corpus = Corpus()) -> list[tuple[int, int]]:
     return Document(text, corpus).units() if text else []
 
 
-_BEFORE = re.compile(r"(?<![\w.])([^\W\d_](?:\.?[^\W\d_]){0,11})\.(?=(,)|[ \n]([^\W_]\w*\.?))")
+_BEFORE = re.compile(r"(?<!\w)((?:[^\W\d_]{1,3}\.){0,4}[^\W\d_]{1,12})\.(?=(,)|[ \n]([^\W_]\w*\.?))")
 _BEHIND = re.compile(r"[!?][ \n]+([^\W\d_]\w*)")
 
 
