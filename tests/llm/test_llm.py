@@ -371,8 +371,8 @@ def _least(g, limit, overlap):
     n = len(g)
     target = (n - overlap) / -(-(n - overlap) // (limit - overlap)) + overlap
     best = {0: 0.0}
-    offered = {int(x) for x in np.flatnonzero(g <= pieces.SENTENCE)}
-    for grade in (pieces.CLAUSE, pieces.WORD, pieces.CHAR):
+    offered = {int(x) for x in np.flatnonzero(g <= pieces.CLAUSE)}
+    for grade in (pieces.WORD, pieces.CHAR):
         edges = [0, *sorted(offered), n]
         offered |= {x for a, b in zip(edges, edges[1:]) if b - a > limit - overlap for x in range(a + 1, b) if g[x] == grade}
     for p in [*sorted(x for x in offered if x > overlap), n]:

@@ -3,9 +3,11 @@
 For each note and profile, dynamic programming over boundary positions minimises the sum of cut
 penalties and of squared deviations from the balanced piece size, subject to the limit and to exactly
 ``overlap_tokens`` tokens shared by neighbours. Positions are graded by what the tokens beside them
-hold: blank line, line, sentence, clause, word, character. Finer grades are offered only between
-coarser ones that lie too far apart for a feasible cut, so a note is cut inside a sentence only where
-no whole one fits; of the positions offered none is left out, and the minimum is exact. Notes are independent and are cut where they lie; nothing is shuffled.
+hold: blank line, line, sentence, clause, word, character. All positions of clauses and above are weighed;
+words and characters, whose price no balance makes up for, are offered where coarser positions lie too far
+apart for a feasible cut. Of the positions offered none is left out, and the minimum is exact. Notes are
+independent and are cut where they lie; nothing is shuffled. The few limits are collected while the frame
+is built.
 
 Sizes are tokens of the whole note under the given public tokenizer. A cut never parts a character.
 
@@ -92,10 +94,10 @@ def many_grades(notes: list[np.ndarray], name: str = tk.DEFAULT, folder: str = t
 
 
 def candidates(g: np.ndarray, step: int) -> np.ndarray:
-    """All positions of sentences and above; where these lie more than a step apart, all finer ones between."""
+    """All positions of clauses and above; where these lie more than a step apart, all finer ones between."""
     n = len(g)
-    at = np.flatnonzero(g <= SENTENCE)
-    for grade in (CLAUSE, WORD, CHAR):
+    at = np.flatnonzero(g <= CLAUSE)
+    for grade in (WORD, CHAR):
         edges = np.concatenate([[0], at, [n]])
         gaps = np.flatnonzero(edges[1:] - edges[:-1] > step)
         if not len(gaps):

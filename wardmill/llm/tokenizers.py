@@ -20,14 +20,7 @@ def encoding(name: str = DEFAULT, folder: str = FOLDER) -> tiktoken.Encoding:
     """One encoder per process."""
     with open(os.path.join(folder, name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    pattern = PATTERN
-    try:
-        import public_tokenizers
-
-        pattern = public_tokenizers.PATTERN
-    except ImportError:
-        pass
-    return tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @functools.cache
