@@ -454,6 +454,39 @@ def test_dictionaries(spark, tmp_path):
         assert [r.line for r in sources.cached_index(spark, lines, "CUI|STR", str(tmp_path / "cache"), build).collect()] == [text] and len(built) == times
 
 
+def test_a_folder_of_configurations_over_a_folder_of_notes(spark, tmp_path):
+    """Two files for terms and concepts, notes as text files, the index and the results written."""
+    from wardmill.__main__ import main
+
+    for name in ("configs", "words", "notes"):
+        (tmp_path / name).mkdir()
+    (tmp_path / "configs" / "general.yaml").write_text("params:\n  FDL:\n    term_dictionary: terms.bsv\n    term_scheme: CUI|STR\n    concept_dictionary: concepts.bsv\n    concept_scheme: CUI|TUI|CODE|SAB|PREF\n    exclusion_tags: [VB]\n    precision_mode: True\npipeline: default_clinical\nfeatures: [polarity]\n")
+    (tmp_path / "configs" / "smoking.yaml").write_text("pipeline: smoking_status\n")
+    (tmp_path / "words" / "terms.bsv").write_text("C1|chest pain\nC2|Cough")
+    (tmp_path / "words" / "concepts.bsv").write_text("C1|T184|1|S|Chest Pain\nC2|T184|2|S|cough")
+    (tmp_path / "notes" / "a.txt").write_text("No cough.\nHe quit smoking.")
+    (tmp_path / "notes" / "b.txt").write_text("Chest pain.")
+    place = [str(tmp_path / x) for x in ("configs", "words", "notes", "out")]
+    assert main(["annotate", *place]) == 0 and main(["annotate"]) == 2
+    assert main(["build-index", place[0], place[1], str(tmp_path / "index")]) == 0 and len(list((tmp_path / "index").iterdir())) == 1
+    got = {r.doc_id: json.loads(r.envelope) for r in spark.read.json(place[3]).collect()}
+    cough = got["a"]["general"]["content"][0]
+    # the concept file's last line isn't terminated: its concept has no group and no codes
+    assert cough["text"] == ["cough", 3, 8] and cough["attributes"] == {"polarity": "negative"} and cough["aspect"] == "unknown"
+    assert got["a"]["smoking"]["smokingStatus"] == "PAST_SMOKER" and got["b"]["general"]["content"][0]["umlsConcepts"][0]["preferredText"] == "chest pain"
+
+
+def test_small_helpers(spark):
+    from wardmill.operators import pipeline
+
+    df = spark.createDataFrame([(["drug", "lab"], ["x", "lab"]), ([], None), (None, ["y"])], "a array<string>, b array<string>")
+    got = df.select(lookup.has_semantic(F.col("a"), "lab").alias("h"), lookup.combined(F.col("a"), F.col("b")).alias("c")).collect()
+    assert [r.h for r in got] == [True, False, None] and [r.c for r in got] == [["drug", "lab", "x"], [], ["y"]]
+    watched, seen = pipeline.counted(df)
+    watched.collect()
+    assert seen.get["n"] == 3
+
+
 def test_no_local_folder_on_a_cluster(spark):
     from types import SimpleNamespace
 

@@ -152,6 +152,16 @@ def annotations(found: DataFrame, classes: DataFrame) -> DataFrame:
     return found.join(classes, "term")
 
 
+def has_semantic(semantics: Column, name: str) -> Column:
+    """Whether a concept's array of semantic groups holds one."""
+    return F.exists(semantics, lambda x: x == name)
+
+
+def combined(first: Column, second: Column) -> Column:
+    """Two arrays as one, each value once."""
+    return F.array_union(F.coalesce(first, second), F.coalesce(second, first))
+
+
 def longest(spans: DataFrame, key: list[str]) -> DataFrame:
     """Spans not strictly inside another of the same key: a sorted sweep, not a self-join."""
     w = W.partitionBy(*key).orderBy(F.col("begin"), F.col("end").desc())

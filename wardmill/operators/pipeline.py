@@ -13,12 +13,13 @@ finds nothing; a note without annotations has empty content; columns beside key
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill import resources as R
@@ -27,7 +28,7 @@ from wardmill.functions import tokens as tk
 from wardmill.functions.tokens import Token
 from wardmill.operators import attributes, lookup, responses, smoking, tagging
 from wardmill.session import checkpoint
-from wardmill.sources import Configuration, scheme_columns
+from wardmill.sources import Configuration, bsv_rows, cached_index, read_dictionary, scheme_columns
 
 
 @dataclass(frozen=True)
@@ -97,6 +98,32 @@ def term_token_column(text: Column) -> Column:
     return run(text)
 
 
+def dictionary_lines(spark: SparkSession, folder: str, configurations: Sequence[Configuration]) -> DataFrame:
+    """dictionary, line, line_no of all files that the configurations name, each file once.
+
+    A last line without a line break counts in a term dictionary and doesn't in a concept dictionary; of a
+    file that is both, it counts as a term's line.
+    """
+    terms = {c.term_dictionary for c in configurations if c.term_dictionary}
+    concepts = {c.concept_dictionary for c in configurations if c.concept_dictionary} - terms
+    parts = [read_dictionary(spark, folder, n, drop_unterminated=n in concepts) for n in sorted(terms | concepts)]
+    if not parts:
+        raise ValueError("no configuration names a dictionary")
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def build_index(spark: SparkSession, lines: DataFrame, configuration: Configuration, folder: str) -> DataFrame:
+    """The term classes of a configuration, from the cache under ``folder`` if its lines haven't changed."""
+    mine = lines.filter(F.col("dictionary") == configuration.term_dictionary)
+    return cached_index(spark, mine, configuration.term_scheme, folder, lambda x: lookup.term_classes(bsv_rows(x, configuration.term_scheme).filter("octet_length(str) >= 1").withColumn("tt", term_token_column(F.col("str"))), F.col("tt")))
+
+
+def counted(annotated: DataFrame, name: str = "annotations") -> tuple[DataFrame, Observation]:
+    """The frame, and the number of its rows (``n``) as a metric that is there once it has run."""
+    seen = Observation(name)
+    return annotated.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
 def vocabulary(lines: DataFrame, configurations: Sequence[Configuration]) -> tuple[DataFrame, DataFrame]:
     """(terms, rows) of all configurations in one scan of their lines.
 
