@@ -5,9 +5,10 @@ table of their own (``membership``). A sentence's tokens are exploded with as ma
 term needs, never beyond the sentence, and joined with the classes on the rare token; what the neighbours
 confirm is a span. So the result of the lookup grows with the notes alone, however many concepts share a
 term, and no duplicates arise that a shuffle would have to remove. Semantic groups and longest spans are
-found on (span, class); concepts are joined in by class only where they are asked for. Whether the index is
-broadcast is left to the optimizer, which knows its size; a large index is shuffled, and AQE splits its
-frequent tokens.
+found on (span, class); concepts are joined in by class only where they are asked for. The index and the
+tables of classes are checkpointed in the shared folder and measured (``sized``, a job each while the frame
+is built): up to ``BROADCAST_BYTES`` they go to the tasks, and the notes aren't shuffled at all; larger ones
+are shuffled, and AQE splits their frequent tokens.
 
 Defined cases: null and empty texts have no tokens; a term without tokens never matches; a term of one
 token matches even if that token isn't rarable; ties between equally rare tokens go to the first; a term
@@ -21,13 +22,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from wardmill import resources as R
+from wardmill.frames import spread
 from wardmill.functions.tokens import plain_tokens
+from wardmill.session import checkpoint
 from wardmill.sources import tui_list
 
+#: What a table of the vocabulary may measure to be broadcast.
+BROADCAST_BYTES = 32 << 20
 #: Parts the tokens of a class in its name.
 JOINT = " "
 
 
+def sized(table: DataFrame, most: int | None = None) -> DataFrame:
+    """A table of the vocabulary, checkpointed; marked for broadcast if its rows as JSON measure ``most`` bytes at most."""
+    kept = checkpoint(table)
+    size = kept.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+    return F.broadcast(kept) if size <= (BROADCAST_BYTES if most is None else most) else kept
+
+
 def rarable(token: Column) -> Column:
     return (F.octet_length(token) > 1) & token.rlike("[a-zA-Z]") & ~token.isin(sorted(R.NOT_RARE))
 
@@ -103,9 +115,9 @@ def sentence_words(notes: DataFrame, key: list[str], text: str = "text") -> Data
 def spans(notes: DataFrame, terms: DataFrame, exclude: list[str] | None = None, group: list[str] | None = None) -> DataFrame:
     """doc_id, sent_no, group..., term, begin, end: each span of a sentence that a class names, once."""
     words = plain_tokens(F.col("str"))
-    index = term_classes(terms, words, group)
+    index = sized(term_classes(terms, words, group))
     ok = F.transform("words", lambda w: ~w.isin(exclude)) if exclude else None
-    sent = sentence_words(notes, ["doc_id"])
+    sent = sentence_words(spread(notes.select("doc_id", "text")), ["doc_id"])
     return matches(anchors(sent, ["doc_id", "sent_no"], F.col("words"), reach_of(terms, words), None, ok), index, ["doc_id", "sent_no"], group)
 
 
@@ -149,7 +161,7 @@ def class_groups(members: DataFrame, groups: DataFrame) -> DataFrame:
 
 def annotations(found: DataFrame, classes: DataFrame) -> DataFrame:
     """``found`` with a row for each semantic group of its class: semantic, n_concepts, first_cui."""
-    return found.join(classes, "term")
+    return found.join(sized(classes), "term")
 
 
 def has_semantic(semantics: Column, name: str) -> Column:

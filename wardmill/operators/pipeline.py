@@ -161,7 +161,7 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     ``tokenized``: ``tokenized_terms``. One join for all configurations; the exclusion tags of each apply to the anchor only. Configurations
     in precision mode keep the longest spans of a sentence and semantic group.
     """
-    index = lookup.term_classes(tokenized, F.col("tt"), ["config"])
+    index = lookup.sized(lookup.term_classes(tokenized, F.col("tt"), ["config"]))
     excluded = {c.name: frozenset(x.lower() for x in c.exclusion_tags) for c in configurations}
     s = sentences.filter("sent_no IS NOT NULL").withColumn("tokens", F.filter("tokens", lambda t: t["kind"] != "newline"))
     words, lemmas = F.transform("tokens", lambda t: t["text"]), F.transform("tokens", lambda t: F.coalesce(t["lemma"], t["text"]))
@@ -169,7 +169,8 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     for tags in set(excluded.values()):  # as a rule all configurations exclude the same tags: one pass
         names = [n for n, x in excluded.items() if x == tags]
         a = lookup.anchors(s, [key, "sent_no"], words, lookup.reach_of(tokenized, F.col("tt")), lemmas, _may_anchor(tags))
-        hits.append(lookup.matches(a, index.filter(F.col("config").isin(names)), [key, "sent_no"], ["config"]))
+        mine = index if len(names) == len(excluded) else lookup.sized(index.filter(F.col("config").isin(names)))
+        hits.append(lookup.matches(a, mine, [key, "sent_no"], ["config"]))
     found = hits[0]
     for h in hits[1:]:
         found = found.unionByName(h)
@@ -177,7 +178,7 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     members = lookup.membership(tokenized.withColumn("cui", F.concat_ws("\x02", "config", "cui")), F.col("tt"), ["config", "cui"])
     classes = lookup.class_groups(members.select("cui", F.concat_ws("\x02", "config", "term").alias("term")), groups)
     classes = classes.select(F.split("term", "\x02").alias("p"), "semantic").select(F.get("p", F.lit(0)).alias("config"), F.get("p", F.lit(1)).alias("term"), "semantic")
-    each = found.join(classes, ["config", "term"])
+    each = found.join(lookup.sized(classes), ["config", "term"])
     exact = [c.name for c in configurations if c.precision_mode]
     kept = each.filter(~F.col("config").isin(exact))
     if exact:
@@ -222,8 +223,10 @@ def _bags(text: str, begin: int, tokens: list[dict], spans: list[dict], features
 def with_attributes(found: DataFrame, sentences: DataFrame, key: str, configurations: Sequence[Configuration], models: Models = Models()) -> DataFrame:
     """``annotations`` with attributes (JSON), text, sent_begin and sent_end. A sentence's annotations of one configuration are read together."""
     features = {c.name: c.features for c in configurations}
-    spans = found.groupBy(key, "sent_no", "config").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "semantic", "term"))).alias("spans"))
-    joined = spans.join(sentences.select(key, "sent_no", "sent_begin", "sent_end", "sentence", "tokens"), [key, "sent_no"]).select(key, "sent_no", "config", "sent_begin", "sent_end", "sentence", "tokens", "spans")
+    # partitions of a given number aren't merged for being small: the pass behind them is bound by CPU time
+    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = found.repartition(parts, key, "sent_no").groupBy(key, "sent_no", "config").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "semantic", "term"))).alias("spans"))
+    joined = spans.join(sentences.select(key, "sent_no", "sent_begin", "sent_end", "sentence", "tokens").repartition(parts, key, "sent_no"), [key, "sent_no"]).select(key, "sent_no", "config", "sent_begin", "sent_end", "sentence", "tokens", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
