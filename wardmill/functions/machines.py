@@ -78,7 +78,7 @@ def condition(name: str) -> Condition:
     if name == "clock":
         return lambda t: len(x := t.text.split(";")) == 2 and all(y.isdigit() for y in x) and 1 <= int(x[0]) <= 12 and int(x[1]) <= 59
     if name == "daynight":
-        return lambda t: 3 <= t.end - t.begin <= 4 and t.text[:3] in ("a.m", "p.m")
+        return lambda t: 3 <= len(t.text) <= 4 and t.text[:3] in ("a.m", "p.m")
     if name[:3] == "int":
         lo, hi = map(int, name[3:].split("-"))
         return lambda t: t.text.isdigit() and len(t.text) < 6 and lo <= int(t.text) <= hi
@@ -92,16 +92,28 @@ def condition(name: str) -> Condition:
 class Machine:
     def __init__(self, kind: str, table: str, value: str = ""):
         self.kind, self.table, self.value, self.rules = kind, table, value, {}
+        self._known: dict[tuple[str, str, str], str] = {}
+        self._meant: Machine | None = None
         for line in table.strip().split("\n"):
             state, *rules = line.split()
             self.rules[state] = [(condition(r.rpartition(">")[0]), r.rpartition(">")[2]) for r in rules]
 
+    def step(self, state: str, t: Token) -> str:
+        """Where a token leads. Conditions read its text and kind alone, so the ways met so far are kept."""
+        key = (state, t.kind, t.text)
+        to = self._known.get(key)
+        if to is None:
+            to = next((to for holds, to in self.rules.get(state, ()) if holds(t)), "START")
+            if len(self._known) < 20_000:
+                self._known[key] = to
+        return to
+
     def run(self, tokens: Sequence[Token], quirks: bool = True) -> list[Span]:
         out, state, start, skip = [], "START", -1, 0
         for i, t in enumerate(tokens):
             if state == "START":
                 start, skip = i - 1, 0
-            state = next((to for holds, to in self.rules.get(state, ()) if holds(t)), "START")
+            state = self.step(state, t)
             if state == "START":
                 start = i
             elif state.startswith("SKIP"):
@@ -115,12 +127,14 @@ class Machine:
 
     def meant(self) -> Machine:
         """The machine as its word lists intend it: ``tail:`` sets, which ordinary words never meet, as plain sets."""
-        return Machine(self.kind, self.table.replace("tail:", ""), self.value)
+        if self._meant is None:
+            self._meant = Machine(self.kind, self.table.replace("tail:", ""), self.value)
+        return self._meant
 
     def fires(self, tokens: Sequence[Token]) -> bool:
         state = "START"
         for t in tokens:
-            state = next((to for holds, to in self.rules.get(state, ()) if holds(t)), "START")
+            state = self.step(state, t)
             if state.startswith("END"):
                 return True
         return False
