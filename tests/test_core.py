@@ -533,3 +533,24 @@ def test_core_needs_no_training_operators():
     for p in root.rglob("*.py"):
         if "llm" not in p.relative_to(root).parts:
             assert not re.search(r"wardmill\.llm|from \.llm", p.read_text()), p
+
+
+def broadcast_rows(df):
+    """Rows of the largest table broadcast by the plan that ran."""
+    def each(p):
+        name = p.getClass().getSimpleName()
+        if name == "BroadcastExchangeExec":
+            yield p.metrics().apply("numOutputRows").value()
+        inside = p.executedPlan() if name == "AdaptiveSparkPlanExec" else p.plan() if name.endswith("QueryStageExec") else None
+        children = [inside] if inside is not None else [p.children().apply(i) for i in range(p.children().size())]
+        for c in children:
+            yield from each(c)
+
+    df.collect()
+    return max([0, *each(df._jdf.queryExecution().executedPlan())])
+
+
+def test_pipeline_concepts_broadcasts_no_notes(spark):
+    from wardmill.plans.pipeline_queries import pipeline_concepts
+
+    assert broadcast_rows(pipeline_concepts(spark, "/root/testdata/sf0.001")) < 100

@@ -24,6 +24,15 @@ def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return kept.select(*[F.col("__k").alias(c) if c == key else F.col(f"__r.{c}").alias(c) for c in df.columns])
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the notes: the join is a sort-merge join, whatever sizes are estimated.
+
+    Estimates come from compressed files, also through a checkpoint, and may be a thousandth of the rows'
+    size; by them such a side would be collected in the driver and broadcast.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan over fewer partitions than there are cores, dealt out to all of them; any other as it is.
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardmill import resources as R
-from wardmill.frames import spread
+from wardmill.frames import shuffled, spread
 from wardmill.functions import tokens as tk
 from wardmill.functions.tokens import Token
 from wardmill.operators import attributes, lookup, responses, smoking, tagging
@@ -183,7 +183,7 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     kept = each.filter(~F.col("config").isin(exact))
     if exact:
         kept = kept.unionByName(lookup.longest(each.filter(F.col("config").isin(exact)), [key, "sent_no", "config", "semantic"]))
-    places = kept.join(s.select(key, "sent_no", F.transform("tokens", lambda t: F.struct(t["begin"].alias("b"), t["end"].alias("e"))).alias("at")), [key, "sent_no"])
+    places = kept.join(shuffled(s.select(key, "sent_no", F.transform("tokens", lambda t: F.struct(t["begin"].alias("b"), t["end"].alias("e"))).alias("at"))), [key, "sent_no"])
     return places.select(key, "sent_no", "config", "semantic", "term", F.get("at", F.col("begin"))["b"].alias("begin"), F.get("at", F.col("end") - 1)["e"].alias("end"))
 
 
@@ -226,7 +226,7 @@ def with_attributes(found: DataFrame, sentences: DataFrame, key: str, configurat
     # partitions of a given number aren't merged for being small: the pass behind them is bound by CPU time
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spans = found.repartition(parts, key, "sent_no").groupBy(key, "sent_no", "config").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "semantic", "term"))).alias("spans"))
-    joined = spans.join(sentences.select(key, "sent_no", "sent_begin", "sent_end", "sentence", "tokens").repartition(parts, key, "sent_no"), [key, "sent_no"]).select(key, "sent_no", "config", "sent_begin", "sent_end", "sentence", "tokens", "spans")
+    joined = spans.join(shuffled(sentences.select(key, "sent_no", "sent_begin", "sent_end", "sentence", "tokens").repartition(parts, key, "sent_no")), [key, "sent_no"]).select(key, "sent_no", "config", "sent_begin", "sent_end", "sentence", "tokens", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from wardmill import resources as R
+from wardmill.frames import shuffled
 
 
 def mention_name(semantic: Column) -> Column:
@@ -35,7 +36,7 @@ def clinical(annotations: DataFrame, notes: DataFrame, key: str) -> DataFrame:
     with an error no response.
     """
     w = W.partitionBy(key, "config").orderBy("begin", "end", "semantic", "term")
-    a = annotations.withColumn("id", F.row_number().over(w) - 1).join(notes.select(key, "config", "n_chars"), [key, "config"])
+    a = annotations.withColumn("id", F.row_number().over(w) - 1).join(shuffled(notes.select(key, "config", "n_chars")), [key, "config"])
     two = lambda x, y: F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
     parts = [
         ("id", F.col("id").cast("string")),
@@ -51,7 +52,7 @@ def clinical(annotations: DataFrame, notes: DataFrame, key: str) -> DataFrame:
     item = F.concat(F.lit("{"), *[x for i, (k, v) in enumerate(parts) for x in (F.lit(("," if i else "") + f'"{k}":'), v)], F.lit("}"))
     content = a.groupBy(key, "config").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", item.alias("item")))), lambda x: x["item"]), ",").alias("content"))
     head = F.concat(F.lit('{"docId":'), _quoted(F.col(key).cast("string")), F.lit(',"dob":"","gender":"","age":"","content":['), F.coalesce("content", F.lit("")), F.lit("]}"))
-    return notes.join(content, [key, "config"], "left").select(key, "config", F.when(F.col("error").isNull(), head).alias("response"), "error")
+    return notes.join(shuffled(content), [key, "config"], "left").select(key, "config", F.when(F.col("error").isNull(), head).alias("response"), "error")
 
 
 def smoking(sentences: DataFrame, status: DataFrame, key: str) -> DataFrame:
