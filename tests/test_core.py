@@ -550,7 +550,8 @@ def broadcast_rows(df):
     return max([0, *each(df._jdf.queryExecution().executedPlan())])
 
 
-def test_pipeline_concepts_broadcasts_no_notes(spark):
-    from wardmill.plans.pipeline_queries import pipeline_concepts
+@pytest.mark.parametrize("name", ["pipeline_concepts", "pipeline_features"])
+def test_pipeline_broadcasts_no_notes(spark, name):
+    from wardmill.plans.pipeline_queries import QUERIES
 
-    assert broadcast_rows(pipeline_concepts(spark, "/root/testdata/sf0.001")) < 100
+    assert broadcast_rows(QUERIES[name](spark, "/root/testdata/sf0.001")) < 100
