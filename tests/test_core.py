@@ -550,7 +550,7 @@ def broadcast_rows(df):
     return max([0, *each(df._jdf.queryExecution().executedPlan())])
 
 
-@pytest.mark.parametrize("name", ["pipeline_concepts", "pipeline_features"])
+@pytest.mark.parametrize("name", ["pipeline_concepts", "pipeline_features", "pipeline_response"])
 def test_pipeline_broadcasts_no_notes(spark, name):
     from wardmill.plans.pipeline_queries import QUERIES
 
