@@ -555,3 +555,25 @@ def test_pipeline_broadcasts_no_notes(spark, name):
     from wardmill.plans.pipeline_queries import QUERIES
 
     assert broadcast_rows(QUERIES[name](spark, "/root/testdata/sf0.001")) < 100
+
+
+def test_pipeline_features_deals_spans_out_once(spark):
+    """One sort-merge join, of notes with their spans; the lookup, its places and its responses need none."""
+    from wardmill.plans.pipeline_queries import QUERIES
+
+    plan = QUERIES["pipeline_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and "shape" not in plan.split("Scan ExistingRDD", 1)[1]
+
+
+def test_notes_with_and_without_precision_errors_and_null_keys(spark):
+    from wardmill.operators import pipeline
+    from wardmill.plans.pipeline_queries import _configuration, _lines
+
+    notes = spark.createDataFrame([(1, "Had pain. Denies chest pain."), (2, "Walks."), (None, "She has chest pain.")], "k int, text string")
+    done = {(r.k, r.config): r for r in pipeline.annotate_notes(notes, "k", _lines(spark), [_configuration("exact", "polarity"), _configuration("loose", precision=False)]).collect()}
+    found = {k: [(c["id"], *c["text"], *c["sentence"], c["attributes"].get("polarity")) for c in json.loads(r.response)["content"]] for k, r in done.items()}
+    assert found[1, "exact"] == [(0, "pain", 4, 8, 0, 9, "positive"), (1, "chest pain", 17, 27, 10, 28, "negative")]
+    assert found[1, "loose"] == [(0, "pain", 4, 8, 0, 9, None), (1, "chest pain", 17, 27, 10, 28, None), (2, "pain", 23, 27, 10, 28, None)]
+    assert len(done) == 6 and all(found[k, c] == [] for k in (2, None) for c in ("exact", "loose"))
+    broken = pipeline.annotate_notes(notes, "k", _lines(spark), [_configuration("a")], pipeline.Models(sentences={"weights": "none"})).collect()
+    assert [(r.response, bool(r.error)) for r in broken] == [(None, True)] * 3

@@ -33,10 +33,12 @@ def shuffled(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, rounds: int | None = None) -> DataFrame:
     """A scan over fewer partitions than there are cores, dealt out to all of them; any other as it is.
 
-    For frames without a shuffle, before a stage that is bound by Python's CPU time.
+    For frames without a shuffle, before a stage that is bound by Python's CPU time. With ``rounds`` each core
+    gets so many partitions, if the scan has fewer: files are split by bytes, and rows may be few bytes in them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    least, parts = (cores // 2, cores) if rounds is None else (rounds * cores, rounds * cores)
+    return df.repartition(parts) if df.rdd.getNumPartitions() < least else df

@@ -17,6 +17,8 @@ of any length is found; repeated vocabulary rows count once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -70,13 +72,15 @@ def reach_of(terms: DataFrame, tokens: Column) -> Column:
     return F.coalesce(terms.agg(F.max(F.size(tokens)) - 1).scalar(), F.lit(0))
 
 
-def anchors(notes: DataFrame, key: list[str], words: Column, reach: Column, lemmas: Column | None = None, anchor: Column | None = None) -> DataFrame:
-    """key..., pos, word, before, window[, lemma_window]: each token with the ``reach`` tokens on either side.
+def anchors(notes: DataFrame, key: list[str], words: Column, reach: Column, lemmas: Column | None = None, anchor: Column | None = None, places: Column | None = None) -> DataFrame:
+    """key..., pos, word, before, window[, lemma_window, place_window]: each token with the ``reach`` tokens on either side.
 
     With ``lemmas`` (an array beside ``words``) a token is probed by either, by its lemma only where that
-    differs. ``anchor`` is an array of booleans beside ``words``: which tokens may anchor a term.
+    differs. ``anchor`` is an array of booleans beside ``words``: which tokens may anchor a term. ``places``
+    (structs of b and e beside ``words``) are where the tokens lie in the text.
     """
-    base = notes.select(*key, words.alias("w"), *([lemmas.alias("l")] if lemmas is not None else []), *([anchor.alias("a")] if anchor is not None else []))
+    beside = {"l": lemmas, "a": anchor, "p": places}
+    base = notes.select(*key, words.alias("w"), *[c.alias(k) for k, c in beside.items() if c is not None])
     base = base.filter(F.size("w") > 0).withColumn("reach", reach)
     out = base.select(*key, *[c for c in base.columns if c not in key], F.posexplode("w").alias("pos", "word"))
     if anchor is not None:
@@ -85,11 +89,15 @@ def anchors(notes: DataFrame, key: list[str], words: Column, reach: Column, lemm
         out = out.withColumn("word", F.explode(F.array_distinct(F.array("word", F.coalesce(F.get("l", F.col("pos")), F.col("word"))))))
     first = F.greatest(F.col("pos") - F.col("reach"), F.lit(0))
     cut = lambda c: F.slice(c, first + 1, 2 * F.col("reach") + 1)
-    return out.select(*key, "pos", "word", (F.col("pos") - first).alias("before"), cut("w").alias("window"), *([cut("l").alias("lemma_window")] if lemmas is not None else []))
+    return out.select(*key, "pos", "word", (F.col("pos") - first).alias("before"), cut("w").alias("window"), *([cut("l").alias("lemma_window")] if lemmas is not None else []), *([cut("p").alias("place_window")] if places is not None else []))
+
 
+def matches(anchor: DataFrame, index: DataFrame, key: list[str], group: list[str] | None = None, by: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """key..., group..., term, begin, end (token positions, end exclusive): verified spans.
 
-def matches(anchor: DataFrame, index: DataFrame, key: list[str], group: list[str] | None = None) -> DataFrame:
-    """key..., group..., term, begin, end (token positions, end exclusive): verified spans."""
+    With the tokens' places the span's own (first, last) are there too. ``by`` deals the spans out as the
+    caller goes on to group them, so that telling them apart needs no shuffle of its own.
+    """
     group = group or []
     j = anchor.join(index, anchor.word == index.rare_word)
     start = F.col("before") - F.col("rare_idx")
@@ -101,7 +109,9 @@ def matches(anchor: DataFrame, index: DataFrame, key: list[str], group: list[str
         either = F.zip_with(F.zip_with(part, F.slice("lemma_window", from_, F.col("n")), lambda w, m: F.struct(w.alias("w"), m.alias("m"))), F.col("tokens"), lambda x, t: F.coalesce((x["w"] == t) | (x["m"] == t), F.lit(False)))
         same = same | (F.size(part) == F.col("n")) & F.forall(either, lambda x: x)
     begin = F.col("pos") - F.col("rare_idx")
-    out = j.filter((F.col("n") == 1) | (start >= 0) & same).select(*key, *group, "term", begin.alias("begin"), (begin + F.col("n")).alias("end"))
+    place = [F.get("place_window", start)["b"].alias("first"), F.get("place_window", start + F.col("n") - 1)["e"].alias("last")] if "place_window" in anchor.columns else []
+    out = j.filter((F.col("n") == 1) | (start >= 0) & same).select(*key, *group, "term", begin.alias("begin"), (begin + F.col("n")).alias("end"), *place)
+    out = by(out) if by else out
     return out.distinct() if lemma else out  # a token and its lemma may both lead to one class
 
 
@@ -174,10 +184,11 @@ def combined(first: Column, second: Column) -> Column:
     return F.array_union(F.coalesce(first, second), F.coalesce(second, first))
 
 
-def longest(spans: DataFrame, key: list[str]) -> DataFrame:
-    """Spans not strictly inside another of the same key: a sorted sweep, not a self-join."""
+def longest(spans: DataFrame, key: list[str], where: Column | None = None) -> DataFrame:
+    """Spans not strictly inside another of the same key: a sorted sweep, not a self-join. Those for which ``where`` doesn't hold all stay."""
     w = W.partitionBy(*key).orderBy(F.col("begin"), F.col("end").desc())
     reach, far = F.max("end").over(w.rowsBetween(W.unboundedPreceding, -1)), F.min("begin").over(W.partitionBy(*key, "end"))
     # equal spans (of several classes) don't cover one another
     kept = spans.withColumns({"__reach": reach, "__far": far})
-    return kept.filter(F.col("__reach").isNull() | (F.col("end") > F.col("__reach")) | (F.col("end") == F.col("__reach")) & (F.col("begin") == F.col("__far"))).drop("__reach", "__far")
+    free = F.col("__reach").isNull() | (F.col("end") > F.col("__reach")) | (F.col("end") == F.col("__reach")) & (F.col("begin") == F.col("__far"))
+    return kept.filter(free if where is None else ~where | free).drop("__reach", "__far")

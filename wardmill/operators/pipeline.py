@@ -1,10 +1,12 @@
 """Notes to responses, as a configuration says: sentences, tokens, tags, lemmas, lookup, attributes, polarity.
 
 One Arrow pass turns notes into sentences with their tokens, which are checkpointed in the shared folder
-(as are the vocabulary's tokens), since lookup, attributes and responses read them; so two jobs run while
-the frame is built. The lookup of all configurations is one join of the sentences with the term classes;
-one more Arrow pass, over the sentences that hold annotations, adds what the configuration's features ask
-for; the responses are grouped by note. Models that aren't public are resources with documented fallbacks.
+(as are the vocabulary's tokens and tables), since lookup and attributes read them; so some jobs run while
+the frame is built. The lookup of all configurations is one join of the sentences with the term classes.
+Its spans are dealt out once, by note, and stay so until they are a list beside the note's sentences; one
+more Arrow pass over the notes adds what the configurations' features ask for, with tokens made again from
+the sentence, which is less than to move them; the responses are put together by note and configuration.
+Models that aren't public are resources with documented fallbacks.
 
 Defined cases: a null or empty note has an empty response; a note that can't be read has a row with its
 error and no response of its own, and doesn't harm the others; a configuration without vocabulary rows
@@ -48,6 +50,8 @@ class Models:
 
 
 _TOKEN = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("lemma", pa.string()), ("tag", pa.string()), ("kind", pa.string()), ("shape", pa.string())])
+#: Notes that an Arrow pass works on at once.
+_AT_ONCE = 256
 SENTENCE = "sent_no int, sent_begin int, sent_end int, sentence string, tokens array<struct<begin:int,end:int,text:string,lemma:string,tag:string,kind:string,shape:string>>, n_chars int, error string"
 
 
@@ -67,11 +71,29 @@ def read_note(text: str, models: Models) -> list[tuple[int, int, list[dict]]]:
     return out
 
 
+def _listed(rows: Sequence[list[dict] | None], struct: pa.StructType) -> pa.Array:
+    """Lists of dicts as an Arrow array, column by column."""
+    flat = [x for r in rows for x in r or ()]
+    inner = pa.StructArray.from_arrays([pa.array([x[f.name] for x in flat], f.type) for f in struct], fields=list(struct))
+    ends, at = [0], 0
+    for r in rows:
+        at += len(r or ())
+        ends.append(at)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), inner, mask=pa.array([r is None for r in rows], pa.bool_()))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of ``_AT_ONCE`` rows: what Python holds at once is bounded by those."""
+    for b in batches:
+        for i in range(0, b.num_rows, _AT_ONCE):
+            yield b.slice(i, _AT_ONCE)
+
+
 def with_sentences(notes: DataFrame, key: str, text: str = "text", models: Models = Models()) -> DataFrame:
     """key and ``SENTENCE``: one row per sentence; for a note without any, or with an error, one row with a null sent_no."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rows: list[tuple] = []
             for k, note in enumerate(b.column(1).to_pylist()):
                 error, found = None, []
@@ -83,9 +105,9 @@ def with_sentences(notes: DataFrame, key: str, text: str = "text", models: Model
                 rows += [(k, i, x, y, note[x:y], t, size, None) for i, (x, y, t) in enumerate(found)] or [(k, None, None, None, None, None, size, error)]
             at, *columns = zip(*rows) if rows else ((),) * 8
             kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(_TOKEN), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *[pa.array(c, t) for c, t in zip(columns, kinds)]], names=[key, *[x.split()[0] for x in SENTENCE.split(", ")]])
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int32())), *[_listed(c, _TOKEN) if pa.types.is_list(t) else pa.array(c, t) for c, t in zip(columns, kinds)]], names=[key, *[x.split()[0] for x in SENTENCE.split(", ")]])
 
-    return spread(notes.select(key, text)).mapInArrow(run, f"`{key}` {notes.schema[key].dataType.simpleString()}, {SENTENCE}")
+    return spread(notes.select(key, text), 2).mapInArrow(run, f"`{key}` {notes.schema[key].dataType.simpleString()}, {SENTENCE}")
 
 
 def term_token_column(text: Column) -> Column:
@@ -159,18 +181,21 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     """key, sent_no, config, semantic, term, begin, end (characters of the note): one row per annotation and class.
 
     ``tokenized``: ``tokenized_terms``. One join for all configurations; the exclusion tags of each apply to the anchor only. Configurations
-    in precision mode keep the longest spans of a sentence and semantic group.
+    in precision mode keep the longest spans of a sentence and semantic group. The rows are dealt out by note.
     """
+    parts = int(sentences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    deal = lambda df: df.repartition(parts, key)
     index = lookup.sized(lookup.term_classes(tokenized, F.col("tt"), ["config"]))
     excluded = {c.name: frozenset(x.lower() for x in c.exclusion_tags) for c in configurations}
     s = sentences.filter("sent_no IS NOT NULL").withColumn("tokens", F.filter("tokens", lambda t: t["kind"] != "newline"))
     words, lemmas = F.transform("tokens", lambda t: t["text"]), F.transform("tokens", lambda t: F.coalesce(t["lemma"], t["text"]))
+    places = F.transform("tokens", lambda t: F.struct(t["begin"].alias("b"), t["end"].alias("e")))
     hits = []
     for tags in set(excluded.values()):  # as a rule all configurations exclude the same tags: one pass
         names = [n for n, x in excluded.items() if x == tags]
-        a = lookup.anchors(s, [key, "sent_no"], words, lookup.reach_of(tokenized, F.col("tt")), lemmas, _may_anchor(tags))
+        a = lookup.anchors(s, [key, "sent_no"], words, lookup.reach_of(tokenized, F.col("tt")), lemmas, _may_anchor(tags), places)
         mine = index if len(names) == len(excluded) else lookup.sized(index.filter(F.col("config").isin(names)))
-        hits.append(lookup.matches(a, mine, [key, "sent_no"], ["config"]))
+        hits.append(lookup.matches(a, mine, [key, "sent_no"], ["config"], deal))
     found = hits[0]
     for h in hits[1:]:
         found = found.unionByName(h)
@@ -180,26 +205,23 @@ def annotations(sentences: DataFrame, key: str, tokenized: DataFrame, rows: Data
     classes = classes.select(F.split("term", "\x02").alias("p"), "semantic").select(F.get("p", F.lit(0)).alias("config"), F.get("p", F.lit(1)).alias("term"), "semantic")
     each = found.join(lookup.sized(classes), ["config", "term"])
     exact = [c.name for c in configurations if c.precision_mode]
-    kept = each.filter(~F.col("config").isin(exact))
-    if exact:
-        kept = kept.unionByName(lookup.longest(each.filter(F.col("config").isin(exact)), [key, "sent_no", "config", "semantic"]))
-    places = kept.join(shuffled(s.select(key, "sent_no", F.transform("tokens", lambda t: F.struct(t["begin"].alias("b"), t["end"].alias("e"))).alias("at"))), [key, "sent_no"])
-    return places.select(key, "sent_no", "config", "semantic", "term", F.get("at", F.col("begin"))["b"].alias("begin"), F.get("at", F.col("end") - 1)["e"].alias("end"))
+    kept = lookup.longest(each, [key, "sent_no", "config", "semantic"], F.col("config").isin(exact)) if exact else each
+    return kept.select(key, "sent_no", "config", "semantic", "term", F.col("first").alias("begin"), F.col("last").alias("end"))
 
 
 def concept_lists(terms: DataFrame, rows: DataFrame) -> DataFrame:
-    """config, term, semantic, umlsConcepts: the described concepts of each class and group, once per class."""
+    """config, term, semantic, tail: the described concepts of each class and group with its names, as JSON, once per class."""
     members = lookup.membership(terms, F.col("tt"), ["config", "cui"])
     groups = rows.select("config", "cui", F.explode(lookup.tui_list(F.col("tui"))).alias("t")).select("config", "cui", lookup.semantic(F.col("t")).alias("semantic")).distinct()
     described = lookup.merged_concepts(rows, ["line_no"], ["config"]).select("config", F.col("cui").alias("upper"), responses.umls_concept().alias("c"))
     each = members.join(groups, ["config", "cui"], "left").withColumns({"semantic": F.coalesce("semantic", F.lit("unknown")), "upper": F.upper("cui")})
     joined = each.join(described, ["config", "upper"], "left").groupBy("config", "term", "semantic")
-    return joined.agg(F.transform(F.sort_array(F.collect_list(F.struct("upper", "c"))), lambda x: x["c"]).alias("umlsConcepts"))
+    listed = joined.agg(F.transform(F.sort_array(F.collect_list(F.struct("upper", "c"))), lambda x: x["c"]).alias("umlsConcepts"))
+    return lookup.sized(listed.select("config", "term", "semantic", responses.class_tail(F.col("semantic"), F.col("umlsConcepts")).alias("tail")))
 
 
-def _bags(text: str, begin: int, tokens: list[dict], spans: list[dict], features: Sequence[str], models: Models) -> list[str]:
+def _bags(text: str, begin: int, ts: list[Token], spans: list[dict], features: Sequence[str], models: Models) -> list[str]:
     """The attributes of the annotations of one sentence and configuration, as JSON."""
-    ts = [Token(t["begin"], t["end"], t["text"], t["kind"], t["shape"]) for t in tokens]
     bags: list[dict] = [{} for _ in spans]
     of = lambda semantic: sorted({(s["begin"], s["end"]) for s in spans if s["semantic"] == semantic})
     at = lambda semantic, place: [k for k, s in enumerate(spans) if s["semantic"] == semantic and (s["begin"], s["end"]) == place]
@@ -220,38 +242,66 @@ def _bags(text: str, begin: int, tokens: list[dict], spans: list[dict], features
     return [json.dumps(b, ensure_ascii=False) for b in bags]
 
 
+_ITEM = pa.struct([("id", pa.int32()), ("sent_begin", pa.int32()), ("sent_end", pa.int32()), ("semantic", pa.string()), ("term", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("attributes", pa.string())])
+ITEM = "struct<id:int,sent_begin:int,sent_end:int,semantic:string,term:string,begin:int,end:int,text:string,attributes:string>"
+
+
+def _items(sentences: list[dict], spans: list[dict], features: dict[str, frozenset[str]], models: Models) -> dict[str, list[dict]]:
+    """The annotations of one note by configuration, in order of (begin, end, semantic, term), ids from 0."""
+    of = {s["sent_no"]: s for s in sentences}
+    out: dict[str, list[dict]] = {c: [] for c in features}
+    by: dict[int, dict[str, list[dict]]] = {}
+    for s in sorted(spans, key=lambda s: (s["begin"], s["end"], s["semantic"], s["term"])):
+        by.setdefault(s["sent_no"], {}).setdefault(s["config"], []).append(s)
+    for n, configs in by.items():
+        a, b, text = of[n]["sent_begin"], of[n]["sent_end"], of[n]["sentence"]
+        tokens = tk.tokenize(text, a)
+        for config, ss in configs.items():
+            out[config] += [{"sent_begin": a, "sent_end": b, "semantic": s["semantic"], "term": s["term"], "begin": s["begin"], "end": s["end"], "text": text[s["begin"] - a : s["end"] - a], "attributes": bag} for s, bag in zip(ss, _bags(text, a, tokens, ss, features[config], models))]
+    for items in out.values():
+        items.sort(key=lambda s: (s["begin"], s["end"], s["semantic"], s["term"]))
+        for k, item in enumerate(items):
+            item["id"] = k
+    return out
+
+
 def with_attributes(found: DataFrame, sentences: DataFrame, key: str, configurations: Sequence[Configuration], models: Models = Models()) -> DataFrame:
-    """``annotations`` with attributes (JSON), text, sent_begin and sent_end. A sentence's annotations of one configuration are read together."""
+    """key, config, n_chars, error, items: a row per note and configuration with its ``annotations``, their text and attributes (JSON)."""
     features = {c.name: c.features for c in configurations}
     # partitions of a given number aren't merged for being small: the pass behind them is bound by CPU time
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spans = found.repartition(parts, key, "sent_no").groupBy(key, "sent_no", "config").agg(F.array_sort(F.collect_list(F.struct("begin", "end", "semantic", "term"))).alias("spans"))
-    joined = spans.join(shuffled(sentences.select(key, "sent_no", "sent_begin", "sent_end", "sentence", "tokens").repartition(parts, key, "sent_no")), [key, "sent_no"]).select(key, "sent_no", "config", "sent_begin", "sent_end", "sentence", "tokens", "spans")
+    spans = found.groupBy(key).agg(F.collect_list(F.struct("sent_no", "config", "begin", "end", "semantic", "term")).alias("spans"))
+    one = F.when(F.col("sent_no").isNotNull(), F.struct("sent_no", "sent_begin", "sent_end", "sentence"))
+    notes = sentences.select(key, one.alias("one"), "n_chars", "error").repartition(parts, key).groupBy(key).agg(F.max("n_chars").alias("n_chars"), F.max("error").alias("error"), F.collect_list("one").alias("sentences"))
+    joined = notes.join(shuffled(spans), key, "left").select(key, "n_chars", "error", "sentences", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at, out = [], []
-            for k, (config, a, text, tokens, ss) in enumerate(zip(*[b.column(i).to_pylist() for i in (2, 3, 5, 6, 7)])):
-                for s, bag in zip(ss, _bags(text, a, tokens, ss, features[config], models)):
+        for b in _slices(batches):
+            at, configs, items = [], [], []
+            for k, (sentences, spans) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist())):
+                for config, listed in _items(sentences, spans or [], features, models).items():
                     at.append(k)
-                    out.append((s["semantic"], s["term"], s["begin"], s["end"], text[s["begin"] - a : s["end"] - a], bag))
-            columns = zip(*out) if out else ((),) * 6
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([*[b.column(i).take(pa.array(at, pa.int32())) for i in range(5)], *[pa.array(c, t) for c, t in zip(columns, kinds)]], names=[*b.schema.names[:5], "semantic", "term", "begin", "end", "text", "attributes"])
+                    configs.append(config)
+                    items.append(listed)
+            place = pa.array(at, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(place), pa.array(configs, pa.string()), b.column(1).take(place), b.column(2).take(place), _listed(items, _ITEM)], names=[key, "config", "n_chars", "error", "items"])
+
+    return joined.mapInArrow(run, f"`{key}` {found.schema[key].dataType.simpleString()}, config string, n_chars int, error string, items array<{ITEM}>")
+
 
-    return joined.mapInArrow(run, f"`{key}` {found.schema[key].dataType.simpleString()}, sent_no int, config string, sent_begin int, sent_end int, semantic string, term string, begin int, end int, text string, attributes string")
+def _for_lookup(sentences: DataFrame) -> DataFrame:
+    """``with_sentences`` without what is made again later; a lemma that is the token itself is null, as ``annotations`` reads it."""
+    t = F.transform("tokens", lambda t: F.struct(t["begin"].alias("begin"), t["end"].alias("end"), t["text"].alias("text"), F.nullif(t["lemma"], t["text"]).alias("lemma"), t["tag"].alias("tag"), t["kind"].alias("kind")))
+    return sentences.withColumn("tokens", t)
 
 
 def clinical(notes: DataFrame, key: str, lines: DataFrame, configurations: Sequence[Configuration], models: Models = Models(), text: str = "text") -> DataFrame:
     """key, config, response (JSON), error: one row per note and configuration."""
-    sentences = checkpoint(with_sentences(notes, key, text, models))
+    sentences = checkpoint(_for_lookup(with_sentences(notes, key, text, models)))
     terms, rows = vocabulary(lines, configurations)
     terms = tokenized_terms(terms)
     found = with_attributes(annotations(sentences, key, terms, rows, configurations), sentences, key, configurations, models)
-    described = found.join(concept_lists(terms, rows), ["config", "term", "semantic"], "left")
-    heads = sentences.groupBy(key).agg(F.max("n_chars").alias("n_chars"), F.max("error").alias("error"))
-    every = heads.withColumn("config", F.explode(F.array(*[F.lit(c.name) for c in configurations])))
-    return responses.clinical(described, every, key)
+    return responses.clinical(found, concept_lists(terms, rows), key)
 
 
 def smoking_status(notes: DataFrame, key: str, config: str = "smoking", models: Models = Models(), text: str = "text") -> DataFrame:
@@ -269,7 +319,7 @@ def smoking_status(notes: DataFrame, key: str, config: str = "smoking", models:
                     errors.append(f"{type(e).__name__}: {e}"[:500])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([config] * len(out), pa.string()), pa.array(out, pa.string()), pa.array(errors, pa.string())], names=[key, "config", "response", "error"])
 
-    return spread(notes.select(key, text)).mapInArrow(run, f"`{key}` {notes.schema[key].dataType.simpleString()}, config string, response string, error string")
+    return spread(notes.select(key, text), 2).mapInArrow(run, f"`{key}` {notes.schema[key].dataType.simpleString()}, config string, response string, error string")
 
 
 def annotate_notes(notes: DataFrame, key: str, lines: DataFrame | None, configurations: Sequence[Configuration], models: Models = Models(), text: str = "text") -> DataFrame:

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from wardmill import resources as R
-from wardmill.frames import shuffled
 
 
 def mention_name(semantic: Column) -> Column:
@@ -28,31 +26,36 @@ def _quoted(text: Column) -> Column:
     return F.regexp_extract(F.to_json(F.array(text)), r"(?s)^\[(.*)\]$", 1)
 
 
-def clinical(annotations: DataFrame, notes: DataFrame, key: str) -> DataFrame:
-    """key, config, response (JSON), error: the content in order of (begin, end, aspect, term), ids from 0.
+def class_tail(semantic: Column, concepts: Column) -> Column:
+    """What the items of a class and group have in common, as JSON: their last members."""
+    return F.concat(F.lit(',"aspect":'), _quoted(semantic), F.lit(',"name":'), _quoted(mention_name(semantic)), F.lit(',"umlsConcepts":'), F.coalesce(F.to_json(concepts), F.lit("[]")))
 
-    ``annotations``: key, config, sent_begin, sent_end, semantic, term, begin, end, text, attributes (JSON),
-    umlsConcepts. ``notes``: key, config, n_chars, error; a note without annotations has empty content, one
-    with an error no response.
+
+def clinical(annotated: DataFrame, tails: DataFrame, key: str) -> DataFrame:
+    """key, config, response (JSON), error: the content in the order of ids.
+
+    ``annotated``: key, config, n_chars, error, items (id, sent_begin, sent_end, semantic, term, begin, end,
+    text, attributes as JSON), one row per note and configuration; a note without annotations has empty
+    content, one with an error no response. ``tails``: config, term, semantic, tail (``class_tail``).
     """
-    w = W.partitionBy(key, "config").orderBy("begin", "end", "semantic", "term")
-    a = annotations.withColumn("id", F.row_number().over(w) - 1).join(shuffled(notes.select(key, "config", "n_chars")), [key, "config"])
+    parts = int(annotated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = annotated.repartition(parts, key, "config").select(key, "config", "n_chars", "error", F.explode_outer("items").alias("i")).select(key, "config", "n_chars", "error", "i.*")
+    a = each.join(tails, ["config", "term", "semantic"], "left")
     two = lambda x, y: F.concat(F.lit("["), x.cast("string"), F.lit(","), y.cast("string"), F.lit("]"))
-    parts = [
+    members = [
         ("id", F.col("id").cast("string")),
         ("sentence", two(F.col("sent_begin"), F.col("sent_end"))),
         ("sectionOffset", two(F.lit(0), F.col("n_chars"))),
         ("text", F.concat(F.lit("["), _quoted(F.lower("text")), F.lit(","), F.col("begin").cast("string"), F.lit(","), F.col("end").cast("string"), F.lit("]"))),
         ("sectionOid", F.lit('"SIMPLE_SEGMENT"')),
         ("attributes", F.col("attributes")),
-        ("aspect", _quoted(F.col("semantic"))),
-        ("name", _quoted(mention_name(F.col("semantic")))),
-        ("umlsConcepts", F.coalesce(F.to_json("umlsConcepts"), F.lit("[]"))),
     ]
-    item = F.concat(F.lit("{"), *[x for i, (k, v) in enumerate(parts) for x in (F.lit(("," if i else "") + f'"{k}":'), v)], F.lit("}"))
-    content = a.groupBy(key, "config").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("id", item.alias("item")))), lambda x: x["item"]), ",").alias("content"))
-    head = F.concat(F.lit('{"docId":'), _quoted(F.col(key).cast("string")), F.lit(',"dob":"","gender":"","age":"","content":['), F.coalesce("content", F.lit("")), F.lit("]}"))
-    return notes.join(shuffled(content), [key, "config"], "left").select(key, "config", F.when(F.col("error").isNull(), head).alias("response"), "error")
+    tail = F.coalesce("tail", class_tail(F.col("semantic"), F.lit(None).cast("array<string>")))
+    item = F.concat(F.lit("{"), *[x for i, (k, v) in enumerate(members) for x in (F.lit(("," if i else "") + f'"{k}":'), v)], tail, F.lit("}"))
+    listed = F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("id", item.alias("item")))))
+    content = a.groupBy(key, "config", "error").agg(F.array_join(F.transform(listed, lambda x: x["item"]), ",").alias("content"))
+    head = F.concat(F.lit('{"docId":'), _quoted(F.col(key).cast("string")), F.lit(',"dob":"","gender":"","age":"","content":['), F.col("content"), F.lit("]}"))
+    return content.select(key, "config", F.when(F.col("error").isNull(), head).alias("response"), "error")
 
 
 def smoking(sentences: DataFrame, status: DataFrame, key: str) -> DataFrame:
