@@ -577,3 +577,24 @@ def test_notes_with_and_without_precision_errors_and_null_keys(spark):
     assert len(done) == 6 and all(found[k, c] == [] for k in (2, None) for c in ("exact", "loose"))
     broken = pipeline.annotate_notes(notes, "k", _lines(spark), [_configuration("a")], pipeline.Models(sentences={"weights": "none"})).collect()
     assert [(r.response, bool(r.error)) for r in broken] == [(None, True)] * 3
+
+
+def test_machines_that_nothing_starts_are_not_run(monkeypatch):
+    """As every machine run on every sentence, in fewer runs."""
+    from wardmill.functions import machines, tokens
+
+    texts = ["Give metformin 20 mg tablet twice daily.", "Take 2 - 3 tablets by mouth every 8 hours for 10 days.", "Seen on 10/12/2019, stop 1/2 tab p.o. b.i.d.", "She denies chest pain .", ""]
+    groups = [machines.TIME, machines.FRACTION_STRENGTH, machines.STATUS, machines.RANGE_STRENGTH, machines.STRENGTH_UNIT, machines.ROUTES, machines.FREQUENCY_UNITS, machines.DURATION, machines.DATES]
+    every = [[[s for m in g for s in m.run(tokens.tokenize(x))] for g in groups] for x in texts]
+    ran, run = [], machines.Machine.run
+    monkeypatch.setattr(machines.Machine, "run", lambda m, *a: ran.append(m) or run(m, *a))
+    for _ in range(2):
+        assert [[machines.run_all(g, tokens.tokenize(x)) for g in groups] for x in texts] == every
+    assert len(ran) < len(texts) * sum(map(len, groups)) and sum(map(len, every[0])) > 0
+
+
+def test_pipeline_response_reads_notes_on_all_cores(spark):
+    from wardmill.operators import pipeline
+
+    notes = spark.range(0, 100, 1, 3).selectExpr("id AS k", "'Give metformin.' AS text")
+    assert pipeline.with_sentences(notes, "k").rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism

@@ -220,6 +220,9 @@ def concept_lists(terms: DataFrame, rows: DataFrame) -> DataFrame:
     return lookup.sized(listed.select("config", "term", "semantic", responses.class_tail(F.col("semantic"), F.col("umlsConcepts")).alias("tail")))
 
 
+_JSON = json.JSONEncoder(ensure_ascii=False).encode
+
+
 def _bags(text: str, begin: int, ts: list[Token], spans: list[dict], features: Sequence[str], models: Models) -> list[str]:
     """The attributes of the annotations of one sentence and configuration, as JSON."""
     bags: list[dict] = [{} for _ in spans]
@@ -239,7 +242,7 @@ def _bags(text: str, begin: int, ts: list[Token], spans: list[dict], features: S
     if "polarity" in features:
         for k, s in enumerate(spans):
             bags[k]["polarity"] = "negative" if attributes.is_negative(ts, s["begin"], s["end"]) else "positive"
-    return [json.dumps(b, ensure_ascii=False) for b in bags]
+    return [_JSON(b) for b in bags]
 
 
 _ITEM = pa.struct([("id", pa.int32()), ("sent_begin", pa.int32()), ("sent_end", pa.int32()), ("semantic", pa.string()), ("term", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("text", pa.string()), ("attributes", pa.string())])
